@@ -199,3 +199,183 @@ SELECT userId, round(hits / n_rec, 6) AS precision, round(hits / n_true, 6) AS r
 oracle("rmse", """
 SELECT round(sqrt(avg(power(t.rating - s.score, 2))), 6) AS rmse, count(*) AS n
 FROM test t JOIN item_score s ON t.movieId = s.movieId""")
+
+
+# ------------------------------------------------------------ sequences
+
+from reelrank.functions.hashing import lehmer_mix_sql  # noqa: E402
+
+SEED = 42
+
+_SEQ = """
+WITH tpos AS (
+  SELECT userId, movieId, rating, ts FROM train WHERE rating >= 4
+  UNION ALL SELECT userId, movieId, rating, ts FROM validation WHERE rating >= 4),
+active AS (
+  SELECT * FROM tpos WHERE userId IN (SELECT userId FROM tpos GROUP BY userId HAVING count(*) >= 4)),
+aseq AS (
+  SELECT userId, movieId, row_number() OVER (PARTITION BY userId ORDER BY ts, movieId) AS pos,
+         count(*) OVER (PARTITION BY userId) AS n FROM active),
+imap AS (
+  SELECT movieId, row_number() OVER (ORDER BY movieId) - 1 AS idx FROM (SELECT DISTINCT movieId FROM movies) m),
+testpos AS (SELECT userId, movieId, rating, ts FROM test WHERE rating >= 4),
+allpos AS (SELECT userId, movieId, rating, ts FROM ratings WHERE rating >= 4),
+tactive AS (
+  SELECT * FROM allpos WHERE userId IN (SELECT userId FROM allpos GROUP BY userId HAVING count(*) >= 13)),
+hseq AS (
+  SELECT userId, movieId, row_number() OVER (PARTITION BY userId ORDER BY ts, movieId) AS pos,
+         count(*) OVER (PARTITION BY userId) AS n FROM tactive),
+vocab AS (
+  SELECT g, row_number() OVER (ORDER BY g) AS gi
+  FROM (SELECT DISTINCT unnest(string_split(genres, '|')) AS g FROM movies) v),
+gvec AS (
+  SELECT m.movieId,
+         string_agg(CAST(CASE WHEN list_contains(string_split(m.genres, '|'), v.g) THEN 1 ELSE 0 END AS VARCHAR),
+                    ',' ORDER BY v.gi) AS genre_vec,
+         string_agg(CAST(CASE WHEN contains(m.genres, v.g) THEN 1 ELSE 0 END AS VARCHAR),
+                    ',' ORDER BY v.gi) AS genre_sub
+  FROM movies m, vocab v GROUP BY m.movieId),
+reqs AS (
+  SELECT userId AS request_id, movieId,
+         row_number() OVER (PARTITION BY userId ORDER BY ts, movieId) AS pos,
+         count(*) OVER (PARTITION BY userId) AS n FROM testpos),
+trans AS (
+  SELECT a.movieId AS prev_item, b.movieId AS next_item, count(*) AS transitions
+  FROM aseq a JOIN aseq b ON a.userId = b.userId AND b.pos = a.pos + 1
+  GROUP BY a.movieId, b.movieId)
+"""
+
+
+def seq_oracle(name: str, body: str) -> None:
+    body = body.strip()
+    if body[:5].upper() == "WITH ":
+        oracle(name, _SEQ.rstrip() + ",\n" + body[5:])
+    else:
+        oracle(name, _SEQ.rstrip() + "\n" + body)
+
+
+seq_oracle("min_activity_4", "SELECT userId, movieId, rating FROM active")
+seq_oracle("min_activity_13", "SELECT userId, movieId, rating FROM tactive")
+seq_oracle("vocab_sizes", """
+SELECT (SELECT count(DISTINCT movieId) FROM movies) AS num_item,
+       (SELECT count(DISTINCT userId) FROM active) AS num_user""")
+seq_oracle("id_map", """
+SELECT 'item' AS kind, movieId AS id, idx FROM imap
+UNION ALL
+SELECT 'user' AS kind, userId AS id, row_number() OVER (ORDER BY userId) - 1 AS idx
+FROM (SELECT DISTINCT userId FROM active) u""")
+seq_oracle("encode_ids", """
+WITH umap AS (SELECT userId, row_number() OVER (ORDER BY userId) - 1 AS uidx
+              FROM (SELECT DISTINCT userId FROM active) u)
+SELECT t.userId, t.movieId, coalesce(i.idx, -1) + 1 AS item_idx, coalesce(u.uidx, -1) AS user_idx
+FROM testpos t LEFT JOIN imap i ON t.movieId = i.movieId LEFT JOIN umap u ON t.userId = u.userId""")
+seq_oracle("user_sequences", "SELECT userId, pos, movieId FROM aseq")
+seq_oracle("leave_one_out", "SELECT userId, n - 1 AS n_train, movieId AS valid_item FROM aseq WHERE pos = n")
+seq_oracle("last_n_holdout", """
+SELECT userId, max(n) - 10 AS n_input,
+       string_agg(CAST(movieId AS VARCHAR), ',' ORDER BY pos) FILTER (WHERE pos > n - 10) AS truth
+FROM hseq GROUP BY userId""")
+seq_oracle("pad_sequences", """
+WITH w AS (
+  SELECT a.userId, a.pos, i.idx + 1 AS tok FROM aseq a JOIN imap i ON a.movieId = i.movieId
+  WHERE a.pos <= a.n - 1 AND a.pos > a.n - 1 - 80)
+SELECT userId,
+       repeat('0,', CAST(greatest(80 - count(*), 0) AS BIGINT))
+         || string_agg(CAST(tok AS VARCHAR), ',' ORDER BY pos) AS seq
+FROM w GROUP BY userId""")
+seq_oracle("genre_multi_hot", "SELECT movieId, genre_vec FROM gvec")
+seq_oracle("genre_sequences", """
+WITH w AS (
+  SELECT a.userId, a.pos, g.genre_vec FROM aseq a JOIN gvec g ON a.movieId = g.movieId
+  WHERE a.pos <= a.n - 1 AND a.pos > a.n - 1 - 80),
+z AS (SELECT string_agg('0', ',') AS zero FROM vocab)
+SELECT userId,
+       repeat(max(z.zero) || ';', CAST(greatest(80 - count(*), 0) AS BIGINT))
+         || string_agg(genre_vec, ';' ORDER BY pos) AS genre_seq
+FROM w, z GROUP BY userId""")
+seq_oracle("genre_skew", """
+SELECT v.g AS genre,
+       CAST(sum(CASE WHEN list_contains(string_split(m.genres, '|'), v.g) THEN 1 ELSE 0 END) AS BIGINT) AS exact_items,
+       CAST(sum(CASE WHEN contains(m.genres, v.g) THEN 1 ELSE 0 END) AS BIGINT) AS substring_items
+FROM movies m, vocab v GROUP BY v.g""")
+seq_oracle("genre_vocab", """
+WITH toks AS (
+  SELECT unnest(string_split(lower(m.genres), '|')) AS token
+  FROM train t LEFT JOIN movies m ON t.movieId = m.movieId),
+c AS (SELECT token, count(*) AS term_count FROM toks WHERE token <> '' GROUP BY token)
+SELECT token, term_count, row_number() OVER (ORDER BY term_count DESC, token) - 1 AS term_index FROM c""")
+seq_oracle("index_ids", """
+WITH lab AS (
+  SELECT CAST(userId AS VARCHAR) AS label, count(*) AS c FROM train GROUP BY 1),
+idx AS (SELECT label, CAST(row_number() OVER (ORDER BY c DESC, label) - 1 AS DOUBLE) AS ix FROM lab)
+SELECT u.userId, coalesce(i.ix, CAST((SELECT count(*) FROM lab) AS DOUBLE)) AS userIndex
+FROM (SELECT DISTINCT userId FROM test) u LEFT JOIN idx i ON CAST(u.userId AS VARCHAR) = i.label""")
+
+_NEG = f"""
+WITH perm AS (
+  SELECT movieId, row_number() OVER (ORDER BY h, movieId) - 1 AS prank, count(*) OVER () AS I
+  FROM (SELECT DISTINCT movieId, {lehmer_mix_sql(SEED, 'movieId')} AS h FROM movies) p),
+nI AS (SELECT max(I) AS I FROM perm),
+husers AS (SELECT DISTINCT userId FROM hseq),
+rated AS (SELECT DISTINCT userId, movieId FROM hseq WHERE movieId IN (SELECT movieId FROM perm)),
+rc AS (SELECT userId, count(*) AS r FROM rated GROUP BY userId),
+plan AS (
+  SELECT h.userId, least(100 + coalesce(rc.r, 0), (SELECT I FROM nI)) AS len,
+         {lehmer_mix_sql(SEED + 1, 'h.userId')} % (SELECT I FROM nI) AS start
+  FROM husers h LEFT JOIN rc ON h.userId = rc.userId),
+walk AS (SELECT userId, start, unnest(range(0, len)) AS t FROM plan),
+cand AS (
+  SELECT w.userId, p.movieId, w.t FROM walk w JOIN perm p ON p.prank = (w.start + w.t) % (SELECT I FROM nI)
+  WHERE NOT EXISTS (SELECT 1 FROM rated r WHERE r.userId = w.userId AND r.movieId = p.movieId)),
+neg AS (
+  SELECT userId, movieId, draw FROM (
+    SELECT userId, movieId, row_number() OVER (PARTITION BY userId ORDER BY t) - 1 AS draw FROM cand) q
+  WHERE draw < 100)
+"""
+
+seq_oracle("negatives", _NEG + "SELECT userId, movieId, draw FROM neg")
+seq_oracle("sampled_metrics", _NEG + """,
+c AS (
+  SELECT userId, movieId, 1 AS is_truth FROM hseq WHERE pos > n - 10
+  UNION ALL SELECT userId, movieId, 0 AS is_truth FROM neg),
+sc AS (
+  SELECT c.*, coalesce(s.score, 0.0) AS score,
+         row_number() OVER (PARTITION BY c.userId ORDER BY coalesce(s.score, 0.0) DESC, c.movieId) AS rk
+  FROM c LEFT JOIN item_score s ON c.movieId = s.movieId),
+per AS (
+  SELECT userId, sum(is_truth) AS n_truth,
+         sum(CASE WHEN rk <= 10 THEN is_truth ELSE 0 END) AS hits,
+         sum(CASE WHEN rk <= 10 THEN is_truth / log2(rk + 1) ELSE 0 END) AS dcg
+  FROM sc GROUP BY userId)
+SELECT round(avg(dcg / 4.543559338088346), 6) AS ndcg_at_10,
+       round(avg(CASE WHEN hits > 0 THEN 1 ELSE 0 END), 6) AS hit_at_10,
+       round(avg(hits / 10.0), 6) AS precision_at_10,
+       round(avg(hits / NULLIF(n_truth, 0)), 6) AS recall_at_10,
+       count(*) AS users
+FROM per""")
+
+seq_oracle("serving_sequences", """
+WITH known AS (
+  SELECT r.request_id, r.pos, i.idx + 1 AS tok,
+         row_number() OVER (PARTITION BY r.request_id ORDER BY r.pos DESC) AS back
+  FROM reqs r JOIN imap i ON r.movieId = i.movieId),
+w AS (SELECT request_id, list(tok ORDER BY pos) AS toks FROM known WHERE back <= 79 GROUP BY request_id),
+allr AS (SELECT DISTINCT request_id FROM reqs),
+full_ AS (
+  SELECT a.request_id,
+         list_append(coalesce(w.toks, []), CAST((SELECT count(*) FROM imap) + 1 AS INT)) AS t
+  FROM allr a LEFT JOIN w ON a.request_id = w.request_id)
+SELECT request_id,
+       repeat('0,', CAST(greatest(80 - len(t), 0) AS BIGINT)) || array_to_string(t, ',') AS tokens
+FROM full_""")
+
+seq_oracle("transitions", "SELECT prev_item, next_item, transitions FROM trans")
+seq_oracle("next_items", """
+WITH last AS (SELECT request_id, movieId AS prev_item FROM reqs WHERE pos = n),
+cand AS (
+  SELECT l.request_id, t.next_item AS movieId, t.transitions AS score
+  FROM last l JOIN trans t ON l.prev_item = t.prev_item
+  WHERE NOT EXISTS (SELECT 1 FROM reqs r WHERE r.request_id = l.request_id AND r.movieId = t.next_item))
+SELECT request_id, rank, movieId, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY score DESC, movieId) AS rank FROM cand) q
+WHERE rank <= 10""")
