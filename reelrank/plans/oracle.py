@@ -379,3 +379,147 @@ cand AS (
 SELECT request_id, rank, movieId, score FROM (
   SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY score DESC, movieId) AS rank FROM cand) q
 WHERE rank <= 10""")
+
+
+# ------------------------------------------------- requests, enrichment
+
+_REQ = """,
+cold AS (SELECT DISTINCT userId FROM ratings WHERE userId NOT IN (SELECT userId FROM active)),
+creq AS (
+  SELECT t.userId AS request_id, t.userId AS userId, t.movieId FROM test t WHERE t.userId IN (SELECT userId FROM cold)
+  UNION ALL
+  SELECT -t.userId AS request_id, CAST(NULL AS INT) AS userId, t.movieId FROM test t
+  WHERE t.userId IN (SELECT userId FROM cold)),
+anon AS (SELECT request_id, movieId FROM creq WHERE userId IS NULL),
+ar AS (SELECT DISTINCT request_id, movieId FROM anon),
+pp AS (SELECT DISTINCT userId, movieId FROM train),
+rs AS (SELECT request_id, count(*) AS req_size FROM ar GROUP BY request_id),
+ps AS (SELECT userId, count(*) AS user_size FROM pp GROUP BY userId),
+inter AS (
+  SELECT ar.request_id, pp.userId, count(*) AS inter FROM ar JOIN pp ON ar.movieId = pp.movieId GROUP BY 1, 2),
+jsc AS (
+  SELECT i.request_id, i.userId, i.inter, rs.req_size, ps.user_size,
+         i.inter / (rs.req_size + ps.user_size - i.inter) AS jaccard
+  FROM inter i JOIN rs ON i.request_id = rs.request_id JOIN ps ON i.userId = ps.userId),
+nb AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY jaccard DESC, userId) AS rank
+                 FROM jsc WHERE jaccard > 0) q WHERE rank <= 1),
+nxt AS (
+  SELECT request_id, rank, movieId, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY score DESC, movieId) AS rank FROM (
+      SELECT l.request_id, t.next_item AS movieId, t.transitions AS score
+      FROM (SELECT request_id, movieId AS prev_item FROM reqs WHERE pos = n) l
+      JOIN trans t ON l.prev_item = t.prev_item
+      WHERE NOT EXISTS (SELECT 1 FROM reqs r WHERE r.request_id = l.request_id AND r.movieId = t.next_item)) c) q
+  WHERE rank <= 10),
+lk AS (SELECT movieId, min(tmdbId) AS tmdbId FROM links GROUP BY movieId),
+prof AS (
+  SELECT userId, genre, m / NULLIF(nrm, 0) AS weight FROM (
+    SELECT mean.userId, genre, m, sqrt(sum(m * m) OVER (PARTITION BY mean.userId)) AS nrm FROM (
+      SELECT userId, genre, avg(rating) AS m FROM (
+        SELECT t.userId, t.rating, unnest(string_split(mv.genres, '|')) AS genre
+        FROM train t JOIN movies mv ON t.movieId = mv.movieId) g GROUP BY 1, 2) mean) z
+  WHERE m / NULLIF(nrm, 0) IS NOT NULL)
+"""
+
+
+def req_oracle(name: str, body: str) -> None:
+    body = body.strip()
+    head = _SEQ.rstrip() + _REQ.rstrip()
+    if body[:5].upper() == "WITH ":
+        oracle(name, head + ",\n" + body[5:])
+    else:
+        oracle(name, head + "\n" + body)
+
+
+req_oracle("jaccard_neighbours", """
+SELECT request_id, userId AS neighbour, inter, req_size, user_size, round(jaccard, 6) AS jaccard, rank FROM nb""")
+
+req_oracle("known_user_flag", """
+SELECT DISTINCT request_id,
+       CASE WHEN userId IS NOT NULL AND userId IN (SELECT userId FROM train) THEN true ELSE false END AS known
+FROM creq""")
+
+req_oracle("request_exclusions", """
+SELECT request_id, movieId FROM creq
+UNION
+SELECT c.request_id, t.movieId FROM (SELECT DISTINCT request_id, userId FROM creq WHERE userId IS NOT NULL) c
+JOIN train t ON c.userId = t.userId
+UNION
+SELECT nb.request_id, t.movieId FROM nb JOIN train t ON nb.userId = t.userId""")
+
+req_oracle("cold_start_candidates", """
+WITH items AS (SELECT DISTINCT movieId FROM (SELECT movieId FROM train UNION ALL SELECT movieId FROM test) u)
+SELECT nb.request_id, nb.userId AS neighbour, count(*) AS n_candidates
+FROM nb, items i
+WHERE NOT EXISTS (SELECT 1 FROM anon a WHERE a.request_id = nb.request_id AND a.movieId = i.movieId)
+GROUP BY 1, 2""")
+
+req_oracle("user_genre_profile", "SELECT userId, genre, round(weight, 6) AS weight FROM prof")
+
+req_oracle("cosine_neighbours", """
+WITH rp AS (
+  SELECT userId, genre, m / NULLIF(nrm, 0) AS weight FROM (
+    SELECT mean.userId, genre, m, sqrt(sum(m * m) OVER (PARTITION BY mean.userId)) AS nrm FROM (
+      SELECT userId, genre, avg(rating) AS m FROM (
+        SELECT t.userId, t.rating, unnest(string_split(mv.genres, '|')) AS genre
+        FROM test t JOIN movies mv ON t.movieId = mv.movieId
+        WHERE t.userId IN (SELECT userId FROM cold)) g GROUP BY 1, 2) mean) z
+  WHERE m / NULLIF(nrm, 0) IS NOT NULL),
+dots AS (
+  SELECT a.userId AS request_id, b.userId AS neighbour,
+         round(sum(round(a.weight, 9) * round(b.weight, 9)), 12) AS cosine
+  FROM rp a JOIN prof b ON a.genre = b.genre
+  WHERE a.userId <> b.userId GROUP BY 1, 2)
+SELECT request_id, neighbour, round(cosine, 6) AS cosine, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY cosine DESC, neighbour) AS rank FROM dots) q
+WHERE rank <= 10""")
+
+req_oracle("hybrid", """
+WITH a AS (SELECT userId, movieId, round(score / 5.0, 9) AS s FROM scored_test),
+b AS (SELECT request_id AS userId, movieId,
+             round(score / max(score) OVER (PARTITION BY request_id), 9) AS s FROM nxt),
+j AS (
+  SELECT coalesce(a.userId, b.userId) AS userId, coalesce(a.movieId, b.movieId) AS movieId,
+         0.5 * coalesce(a.s, 0.0) + 0.5 * coalesce(b.s, 0.0) AS score
+  FROM a FULL OUTER JOIN b ON a.userId = b.userId AND a.movieId = b.movieId)
+SELECT userId, rank, movieId, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY userId ORDER BY score DESC, movieId) AS rank FROM j) q
+WHERE rank <= 10""")
+
+req_oracle("titles_for_ids", """
+SELECT n.request_id, n.rank, n.movieId, m.title FROM nxt n LEFT JOIN movies m ON n.movieId = m.movieId""")
+
+req_oracle("map_external", """
+SELECT n.request_id, n.rank, n.movieId, lk.tmdbId FROM nxt n JOIN lk ON n.movieId = lk.movieId""")
+
+req_oracle("map_internal", """
+WITH rl AS (SELECT tmdbId, min(movieId) AS movieId FROM links GROUP BY tmdbId)
+SELECT d.tmdb_id AS tmdbId, rl.movieId, CASE WHEN rl.movieId IS NULL THEN 'not_found' ELSE 'ok' END AS status
+FROM details d LEFT JOIN rl ON d.tmdb_id = rl.tmdbId""")
+
+req_oracle("enrich_recommendations", """
+SELECT n.request_id, n.rank, n.movieId, lk.tmdbId, d.title_ko,
+       CASE WHEN length(coalesce(d.poster_path, '')) > 0 THEN '/images/w500' || d.poster_path END AS poster_url,
+       substring(d.release_date, 1, 4) AS release_year
+FROM nxt n JOIN lk ON n.movieId = lk.movieId JOIN details d ON d.tmdb_id = lk.tmdbId""")
+
+req_oracle("enrich_input_items", """
+SELECT c.request_id, c.movieId, lk.tmdbId,
+       CASE WHEN lk.tmdbId IS NULL THEN 'ID ' || CAST(c.movieId AS VARCHAR) || ' (no external id)'
+            WHEN d.title_ko IS NULL THEN 'ID ' || CAST(c.movieId AS VARCHAR) || ' (no details)'
+            ELSE d.title_ko END AS display_title,
+       CASE WHEN length(coalesce(d.poster_path, '')) > 0 THEN '/images/w500' || d.poster_path END AS poster_url
+FROM creq c LEFT JOIN lk ON c.movieId = lk.movieId LEFT JOIN details d ON d.tmdb_id = lk.tmdbId""")
+
+req_oracle("search_titles", """
+SELECT movieId, title FROM movies WHERE contains(lower(title), 'red') ORDER BY title, movieId LIMIT 10""")
+
+oracle("parse_histories", """
+WITH b AS (
+  SELECT l_orderkey AS request_id, CAST(l_partkey AS INT) AS pk, min(l_linenumber) AS first_ln
+  FROM lineitem GROUP BY 1, 2)
+SELECT request_id, CASE WHEN count(*) < 2 THEN 'too_few' ELSE 'ok' END AS status,
+       string_agg(CAST(pk AS VARCHAR), ',' ORDER BY pk) AS history_sorted,
+       string_agg(CAST(pk AS VARCHAR), ',' ORDER BY first_ln, pk) AS history_ordered
+FROM b GROUP BY request_id""")

@@ -248,3 +248,4 @@ def rmse(spark, sf_dir):
 # Query modules register themselves on import.
 from reelrank.plans import q_models  # noqa: E402,F401
 from reelrank.plans import q_sequences  # noqa: E402,F401
+from reelrank.plans import q_requests  # noqa: E402,F401
