@@ -523,3 +523,34 @@ SELECT request_id, CASE WHEN count(*) < 2 THEN 'too_few' ELSE 'ok' END AS status
        string_agg(CAST(pk AS VARCHAR), ',' ORDER BY pk) AS history_sorted,
        string_agg(CAST(pk AS VARCHAR), ',' ORDER BY first_ln, pk) AS history_ordered
 FROM b GROUP BY request_id""")
+
+
+# ------------------------------------------------------------ file round trips
+
+oracle("csv_roundtrip", "SELECT movieId, title, genres, year FROM movies")
+
+oracle("json_roundtrip", """
+SELECT CAST(k.userId AS INT) AS userIndex, m.title, k.score AS predicted_rating
+FROM topk k LEFT JOIN (SELECT DISTINCT t.movieId, m.title FROM train t LEFT JOIN movies m
+                       ON t.movieId = m.movieId) m ON k.movieId = m.movieId""")
+
+seq_oracle("id_map_roundtrip", """
+SELECT 'item' AS kind, movieId AS id, idx FROM imap
+UNION ALL
+SELECT 'user' AS kind, userId AS id, row_number() OVER (ORDER BY userId) - 1 AS idx
+FROM (SELECT DISTINCT userId FROM active) u""")
+
+oracle("run_log", _NDCG + """,
+prec AS (SELECT userId, sum(label) / count(label) AS p FROM topk GROUP BY userId),
+rec AS (
+  SELECT tp.userId, tp.s / NULLIF(tot.s, 0) AS r
+  FROM (SELECT userId, sum(label) AS s FROM topk GROUP BY userId) tp
+  JOIN (SELECT userId, sum(label) AS s FROM scored_test GROUP BY userId) tot ON tp.userId = tot.userId),
+m AS (
+  SELECT round(avg(prec.p), 6) AS p, round(avg(rec.r), 6) AS r, round(avg(per.ndcg), 6) AS n
+  FROM prec LEFT JOIN rec ON prec.userId = rec.userId LEFT JOIN per ON prec.userId = per.userId)
+SELECT 'label-ranking' AS run, 'param' AS kind, 'k' AS name, 10.0 AS value
+UNION ALL SELECT 'label-ranking', 'param', 'threshold', 4.0
+UNION ALL SELECT 'label-ranking', 'metric', 'precision_at_10', p FROM m
+UNION ALL SELECT 'label-ranking', 'metric', 'recall_at_10', r FROM m
+UNION ALL SELECT 'label-ranking', 'metric', 'ndcg_at_10', n FROM m""")

@@ -249,3 +249,5 @@ def rmse(spark, sf_dir):
 from reelrank.plans import q_models  # noqa: E402,F401
 from reelrank.plans import q_sequences  # noqa: E402,F401
 from reelrank.plans import q_requests  # noqa: E402,F401
+from reelrank.plans import q_gbt  # noqa: E402,F401
+from reelrank.plans import q_io  # noqa: E402,F401
