@@ -554,3 +554,16 @@ UNION ALL SELECT 'label-ranking', 'param', 'threshold', 4.0
 UNION ALL SELECT 'label-ranking', 'metric', 'precision_at_10', p FROM m
 UNION ALL SELECT 'label-ranking', 'metric', 'recall_at_10', r FROM m
 UNION ALL SELECT 'label-ranking', 'metric', 'ndcg_at_10', n FROM m""")
+
+req_oracle("unseen_candidates", """
+WITH items AS (SELECT DISTINCT movieId FROM (SELECT movieId FROM train UNION ALL SELECT movieId FROM test) u)
+SELECT r.request_id, i.movieId FROM (SELECT DISTINCT request_id FROM anon) r, items i
+WHERE NOT EXISTS (SELECT 1 FROM anon a WHERE a.request_id = r.request_id AND a.movieId = i.movieId)""")
+
+oracle("item_sets", """
+SELECT userId, count(*) AS n_items, string_agg(CAST(movieId AS VARCHAR), ',' ORDER BY movieId) AS items
+FROM (SELECT DISTINCT userId, movieId FROM train) d GROUP BY userId""")
+
+seq_oracle("encode_history", """
+WITH v AS (SELECT movieId, row_number() OVER (ORDER BY movieId) AS tok FROM (SELECT DISTINCT movieId FROM train) t)
+SELECT r.request_id, r.pos, r.movieId, v.tok FROM reqs r JOIN v ON r.movieId = v.movieId""")

@@ -205,3 +205,33 @@ def parse_histories(spark, sf_dir):
     out = P.parse_histories(req, "text", 2)
     return out.select("request_id", "status", csv_ints("history_sorted").alias("history_sorted"),
                       csv_ints("history_ordered").alias("history_ordered"))
+
+
+@query("unseen_candidates")
+def unseen_candidates_q(spark, sf_dir):
+    """Every train+test item not in the anonymous request's history,
+    for each anonymous cold-start request."""
+    from reelrank.operators.candidates import all_items, unseen_candidates
+    f = Frames(spark, sf_dir)
+    reqs = anonymous(cold_requests(f))
+    return unseen_candidates(reqs.select("request_id").distinct(), all_items(f.train, f.test),
+                             reqs.select("request_id", "movieId"))
+
+
+@query("item_sets")
+def item_sets(spark, sf_dir):
+    """G1: sorted distinct training items per user. The set is bounded by
+    the catalogue; collect_set merges map-side before the shuffle."""
+    f = Frames(spark, sf_dir)
+    sets = f.train.groupBy("userId").agg(F.array_sort(F.collect_set("movieId")).alias("items"))
+    return sets.select("userId", F.size("items").alias("n_items"), csv_ints("items").alias("items"))
+
+
+@query("encode_history")
+def encode_history(spark, sf_dir):
+    """Request histories encoded with an item map built on the training
+    items; ids unknown to that vocabulary are dropped (inner join)."""
+    f = Frames(spark, sf_dir)
+    vocab = S.id_map(f.train, "movieId").select(F.col("id").alias("movieId"),
+                                                (F.col("idx") + 1).alias("tok"))
+    return _requests(f).join(vocab, "movieId").select("request_id", "pos", "movieId", "tok")
