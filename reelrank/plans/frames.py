@@ -12,6 +12,9 @@ from reelrank.operators.prep import normalise_types, with_label
 from reelrank.sources import tables as T
 
 
+_SHARED: dict[tuple, DataFrame] = {}
+
+
 class Frames:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
@@ -20,7 +23,14 @@ class Frames:
     # --- base tables -----------------------------------------------------
     @cached_property
     def ratings(self) -> DataFrame:
-        return T.ratings(self.spark, self.sf_dir)
+        """The derived ratings table, materialised once per session and
+        input folder with a reliable checkpoint (a written table in the
+        session's checkpoint folder). Later queries read that copy instead of
+        re-running the join, dedupe and ordering; a lost executor re-reads it."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, "ratings")
+        if key not in _SHARED:
+            _SHARED[key] = T.ratings(self.spark, self.sf_dir).checkpoint(eager=True)
+        return _SHARED[key]
 
     @cached_property
     def movies(self) -> DataFrame:
