@@ -244,10 +244,3 @@ def rmse(spark, sf_dir):
     pred = f.test.join(f.item_score.withColumnRenamed("score", "prediction"), "movieId")
     return M.rmse(pred)
 
-
-# Query modules register themselves on import.
-from reelrank.plans import q_models  # noqa: E402,F401
-from reelrank.plans import q_sequences  # noqa: E402,F401
-from reelrank.plans import q_requests  # noqa: E402,F401
-from reelrank.plans import q_gbt  # noqa: E402,F401
-from reelrank.plans import q_io  # noqa: E402,F401
