@@ -90,3 +90,48 @@ def test_scan_pushes_filter_and_prunes_columns(spark):
     plan = li._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(l_quantity), GreaterThanOrEqual(l_quantity,20.0)]" in plan
     assert "ReadSchema: struct<l_partkey:bigint,l_quantity:double>" in plan
+
+
+def _brute_jaccard(req_rows, pop_rows, k):
+    from collections import defaultdict
+    A, B = defaultdict(set), defaultdict(set)
+    for r, i in req_rows:
+        A[r].add(i)
+    for u, i in pop_rows:
+        B[u].add(i)
+    out = {}
+    for r, a in A.items():
+        scored = []
+        for u, b in B.items():
+            inter = len(a & b)
+            if inter:
+                scored.append((-inter / len(a | b), u, inter))
+        out[r] = [(u, inter) for _, u, inter in sorted(scored)[:k]]
+    return out
+
+
+def test_jaccard_hot_items_exact(spark):
+    from reelrank.operators.similarity import jaccard_neighbours
+    import random
+    rng = random.Random(5)
+    pop = set()
+    for u in range(300):
+        if rng.random() < 0.9:
+            pop.add((u, 0))                 # item 0: almost every user
+        if rng.random() < 0.5:
+            pop.add((u, 1))                 # item 1: half of the users
+        for _ in range(rng.randint(0, 6)):
+            pop.add((u, rng.randint(2, 80)))
+    req = set()
+    for r in range(40):
+        for _ in range(rng.randint(1, 5)):
+            req.add((1000 + r, rng.choice([0, 1] + list(range(2, 80)))))
+    pdf = spark.createDataFrame(sorted(pop), "userId int, movieId int")
+    rdf = spark.createDataFrame(sorted(req), "request_id int, movieId int")
+    for k in (1, 3):
+        want = _brute_jaccard(req, pop, k)
+        for hot_min in (20, 10_000):        # hot path on / off
+            got = {}
+            for row in jaccard_neighbours(rdf, pdf, k=k, hot_min=hot_min).orderBy("request_id", "rank").collect():
+                got.setdefault(row.request_id, []).append((row.neighbour, row.inter))
+            assert got == {r: v for r, v in want.items() if v}, (k, hot_min)
