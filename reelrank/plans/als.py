@@ -20,6 +20,7 @@ from reelrank.session import ensure_checkpoint_dir
 DEFAULTS = dict(rank=10, max_iter=10, reg=0.1)     # library defaults, "before"
 TUNED = dict(rank=20, max_iter=15, reg=0.1)        # "after"; fetch 50, keep 10
 FETCH, KEEP = 50, 10
+SHARED_WINDOW = 1024
 
 _MODELS: dict[tuple, ALSModel] = {}
 
@@ -86,31 +87,28 @@ def recommend_unseen(model: ALSModel, users: DataFrame, seen: DataFrame, k: int
                      fetch: int = FETCH, user: str = "userId", item: str = "movieId") -> DataFrame:
     """Exact per-user top-k among items the user has not seen.
 
-    Round one fetches ``fetch`` items per user and removes seen pairs. A user
-    left with fewer than k (because many fetched items were seen) is fetched
-    again with twice the window; only those users take part in the next
-    round. The loop ends when every user has k items or the window covers the
-    whole catalogue, so no user is cut short by a fixed over-fetch. Each
-    round's result is checkpointed so the count and the output agree.
+    A user's top (k + |seen items|) always holds at least k unseen items, so
+    each user is fetched with that window rounded up to a power of two (at
+    least ``fetch``, at most the catalogue). Users are bucketed by window, so
+    one heavy user gets a large window without widening everyone else's; the
+    number of buckets is at most log2(catalogue size). Seen pairs are then
+    removed with an anti join and the first k kept.
     """
-    n_items = model.itemFactors.count()
-    pending = users.select(user).distinct()
-    done: list[DataFrame] = []
-    window = max(fetch, k)
-    while True:
-        recs = drop_seen_anti(recommend_subset(model, pending, window, user), seen, user, item)
-        kept = top_n_per_user(recs, k, group=user, score="rating", item=item).checkpoint(eager=True)
-        if window >= n_items:
-            done.append(kept)
-            break
-        counts = kept.groupBy(user).count()
-        short = pending.join(counts, user, "left").filter(F.coalesce("count", F.lit(0)) < k).select(user)
-        short = short.checkpoint(eager=True)
-        done.append(kept.join(short, user, "left_anti"))
-        if short.isEmpty():
-            break
-        pending, window = short, min(window * 2, n_items)
-    out = done[0]
-    for d in done[1:]:
-        out = out.unionByName(d)
-    return out.withColumn("rank", F.col("index") + 1).drop("index")
+    n_items = model.itemFactors.count()                           # one scalar
+    seen_n = seen.select(user, item).distinct().groupBy(user).agg(F.count(F.lit(1)).alias("_s"))
+    want = F.lit(k) + F.coalesce(F.col("_s"), F.lit(0))
+    window = F.least(F.lit(n_items), F.greatest(F.lit(fetch),
+                     F.pow(F.lit(2), F.ceil(F.log2(want))).cast("int")))
+    need = users.select(user).distinct().join(seen_n, user, "left").select(user, window.alias("_w"))
+    buckets = sorted(r["_w"] for r in need.select("_w").distinct().collect())  # <= log2(I) values
+    # Windows up to SHARED_WINDOW share one scoring pass (at their largest
+    # window); only heavier users get a pass of their own.
+    small = [w for w in buckets if w <= SHARED_WINDOW]
+    passes = ([(F.col("_w") <= SHARED_WINDOW, max(small))] if small else []) + \
+             [(F.col("_w") == w, w) for w in buckets if w > SHARED_WINDOW]
+    recs = None
+    for cond, w in passes:
+        part = recommend_subset(model, need.filter(cond), w, user)
+        recs = part if recs is None else recs.unionByName(part)
+    kept = top_n_per_user(drop_seen_anti(recs, seen, user, item), k, group=user, score="rating", item=item)
+    return kept.withColumn("rank", F.col("index") + 1).drop("index")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from reelrank.functions.exprs import round6
 from reelrank.operators.prep import normalise_types, with_label
+from reelrank.session import scratch_path
 from reelrank.sources import tables as T
 
 
@@ -23,13 +25,17 @@ class Frames:
     # --- base tables -----------------------------------------------------
     @cached_property
     def ratings(self) -> DataFrame:
-        """The derived ratings table, materialised once per session and
-        input folder with a reliable checkpoint (a written table in the
-        session's checkpoint folder). Later queries read that copy instead of
-        re-running the join, dedupe and ordering; a lost executor re-reads it."""
+        """The derived ratings table, written once per session and input
+        folder as parquet partitioned by split, in the session's shared
+        checkpoint folder. Later queries read that table: a split filter
+        prunes partitions, unused columns are not read, and a lost executor
+        re-reads files instead of re-deriving them."""
         key = (self.spark.sparkContext.applicationId, self.sf_dir, "ratings")
         if key not in _SHARED:
-            _SHARED[key] = T.ratings(self.spark, self.sf_dir).checkpoint(eager=True)
+            path = scratch_path(self.spark, f"ratings-{uuid.uuid4().hex}")
+            (T.ratings(self.spark, self.sf_dir)
+               .write.mode("overwrite").partitionBy("split").parquet(path))
+            _SHARED[key] = self.spark.read.parquet(path)
         return _SHARED[key]
 
     @cached_property
@@ -59,6 +65,10 @@ class Frames:
     def test(self) -> DataFrame:
         return self.split("test")
 
+    def history(self) -> DataFrame:
+        """Train + validation rows in one scan (split IN (...))."""
+        return self.ratings.filter(F.col("split").isin("train", "validation")).drop("split")
+
     # --- denormalised, labelled splits (the *_temp tables) ----------------
     def temp(self, name: str) -> DataFrame:
         return with_label(normalise_types(T.denormalised(self.split(name), self.movies)))

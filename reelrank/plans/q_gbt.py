@@ -73,7 +73,7 @@ def gbt_tune(spark, sf_dir):
 
 
 def _gbt_topk(f: Frames) -> DataFrame:
-    seen = f.train.select("userId", "movieId").unionByName(f.validation.select("userId", "movieId"))
+    seen = f.history().select("userId", "movieId")
     s = C.drop_seen_anti(scored_test(f), C.seen_items(seen, f.test))
     return R.top_k(s, K)
 

@@ -21,7 +21,7 @@ def train_positives(f: Frames) -> DataFrame:
     """Positives of train + validation with their timestamps (the sequence
     model's training table)."""
     cols = ["userId", "movieId", "rating", "ts"]
-    return P.positives(f.train.select(*cols).unionByName(f.validation.select(*cols)))
+    return P.positives(f.history().select(*cols))
 
 
 def active_train(f: Frames) -> DataFrame:

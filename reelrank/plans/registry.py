@@ -98,8 +98,7 @@ def unseen_literal(spark, sf_dir):
 # ---------------------------------------------------- seen / unseen, top-k
 
 def _seen(f: Frames) -> DataFrame:
-    hist = f.train.select("userId", "movieId").unionByName(f.validation.select("userId", "movieId"))
-    return C.seen_items(hist, f.test)
+    return C.seen_items(f.history().select("userId", "movieId"), f.test)
 
 
 @query("seen_items")
