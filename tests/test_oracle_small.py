@@ -38,6 +38,8 @@ def duck():
 @pytest.mark.parametrize("key", sorted(k for k in E.oracle_sql() if k not in SLOW))
 def test_matches_sql(spark, duck, key):
     df = E.queries()[key](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not any(node in plan for node in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython"))
     got = _rows([tuple(r) for r in df.collect()], df.columns)
     res = duck.execute(E.oracle_sql()[key])
     cols = [d[0] for d in res.description]
