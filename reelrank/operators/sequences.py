@@ -158,7 +158,8 @@ def explode_range(df: DataFrame, length: str, out: str = "t", chunk: int = RANGE
 
 
 def sample_unrated(need: DataFrame, rated: DataFrame, items: DataFrame, seed: int = 0,
-                   user: str = "userId", item: str = "movieId", n_col: str = "n_needed") -> DataFrame:
+                   user: str = "userId", item: str = "movieId", n_col: str = "n_needed",
+                   max_needed: int | None = None) -> DataFrame:
     """For each user of ``need`` pick ``n_needed`` distinct items the
     user has not rated (all unrated items when there are fewer).
 
@@ -179,7 +180,14 @@ def sample_unrated(need: DataFrame, rated: DataFrame, items: DataFrame, seed: in
     walk = walk.withColumn("prank", F.pmod(F.col("_start") + F.col("t"), F.lit(max(n_items, 1))))
     cand = (walk.join(perm.select(item, "prank"), "prank")
                 .join(rated_d, [user, item], "left_anti"))
-    ranked = with_ordinal(cand.select(user, item, "t", n_col), user, ["t"], pos_col="_k", size_col="_m")
+    # keep the first n_needed unrated items of each walk: a per-user top-k
+    # with k = the largest request, so each task forwards at most k rows of
+    # a user (partial WindowGroupLimit) however long that user's walk is
+    if max_needed is None:
+        max_needed = int(need.agg(F.max(n_col)).first()[0] or 0)   # one scalar
+    from reelrank.operators.rank import top_k
+    ranked = top_k(cand.select(user, item, "t", n_col).withColumn("_neg_t", -F.col("t")),
+                   max(max_needed, 1), user, "_neg_t", item, "_k")
     return (ranked.filter(F.col("_k") <= F.col(n_col))
                   .select(user, item, (F.col("_k") - 1).alias("draw")))
 
@@ -188,7 +196,7 @@ def sample_negatives(users: DataFrame, rated: DataFrame, items: DataFrame, n: in
                      seed: int = 0, user: str = "userId", item: str = "movieId") -> DataFrame:
     """``n`` unrated items per user (fewer when not enough exist)."""
     need = users.select(user).distinct().withColumn("n_needed", F.lit(n))
-    return sample_unrated(need, rated, items, seed, user, item)
+    return sample_unrated(need, rated, items, seed, user, item, max_needed=n)
 
 
 def masked_sequences(seqs: DataFrame, items: DataFrame, genre_vecs: DataFrame | None,
@@ -216,7 +224,8 @@ def masked_sequences(seqs: DataFrame, items: DataFrame, genre_vecs: DataFrame |
                                           .when(v < 0.9, "random").otherwise("keep")))
     need = (marked.filter(F.col("action") == "random").groupBy(user)
                   .agg(F.count(F.lit(1)).alias("n_needed")))
-    draws = sample_unrated(need, seqs.select(user, item), items, seed + 7, user, item)
+    draws = sample_unrated(need, seqs.select(user, item), items, seed + 7, user, item,
+                           max_needed=max_len)
     draws = draws.join(imap.withColumnRenamed(item, "_rnd_item").withColumnRenamed("tok", "_rnd_tok"),
                        draws[item] == F.col("_rnd_item")).select(user, "draw", "_rnd_item", "_rnd_tok")
     # random slots per user are a subset of the <= max_len window rows

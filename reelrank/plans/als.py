@@ -34,7 +34,7 @@ def fit_als(train: DataFrame, rank: int = 10, max_iter: int = 10, reg: float = 0
     the expensive step; scoring reuses it)."""
     key = None
     if cache_key is not None:
-        key = (id(train.sparkSession), cache_key, rank, max_iter, reg, seed)
+        key = (train.sparkSession.sparkContext.applicationId, cache_key, rank, max_iter, reg, seed)
         if key in _MODELS:
             return _MODELS[key]
     ensure_checkpoint_dir(train.sparkSession)  # ALS checkpoints its factor lineage

@@ -22,6 +22,10 @@ TUNE_TRIALS = 2
 _CACHE: dict[tuple, object] = {}
 
 
+def _app(f: Frames) -> str:
+    return f.spark.sparkContext.applicationId
+
+
 def _cached(key, build):
     if key not in _CACHE:
         _CACHE[key] = build()
@@ -29,7 +33,7 @@ def _cached(key, build):
 
 
 def feature_model(f: Frames) -> G.FeatureModel:
-    return _cached((id(f.spark), f.sf_dir, "features"), lambda: G.fit_features(f.temp("train")))
+    return _cached((_app(f), f.sf_dir, "features"), lambda: G.fit_features(f.temp("train")))
 
 
 def final_model(f: Frames):
@@ -38,7 +42,7 @@ def final_model(f: Frames):
         fm = feature_model(f)
         tv = fm.transform(f.temp("train").unionByName(f.temp("validation")))
         return G.fit_gbt(tv, **G.DEFAULT_PARAMS)
-    return _cached((id(f.spark), f.sf_dir, "gbt"), build)
+    return _cached((_app(f), f.sf_dir, "gbt"), build)
 
 
 def scored_test(f: Frames) -> DataFrame:
