@@ -30,12 +30,14 @@ _ROW_BITS = 33  # monotonically_increasing_id = partition_index << 33 | row_in_p
 
 def with_ordinal(df: DataFrame, key: str, order: Sequence[str | Column],
                  pos_col: str = "pos", size_col: str = "n",
-                 num_partitions: int | None = None) -> DataFrame:
+                 num_partitions: int | None = None, materialize: bool = False) -> DataFrame:
     """Add ``pos_col`` (1-based position of the row inside ``key`` under
     ``order``) and ``size_col`` (rows in the group).
 
     ``order`` should make rows of a group distinct; ties get distinct
     consecutive positions in an unspecified order, as with ``row_number``.
+    ``materialize`` checkpoints the result too, for outputs that feed several
+    branches of a query (each branch then scans it instead of re-joining).
     """
     spark = df.sparkSession
     parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -56,4 +58,4 @@ def with_ordinal(df: DataFrame, key: str, order: Sequence[str | Column],
                  .withColumn(pos_col, (F.col("_base") + F.col("_rid") - F.col("_first") + 1).cast("int"))
                  .withColumn(size_col, F.col(size_col).cast("int"))
                  .drop("_rid", "_pid", "_cnt", "_first", "_base"))
-    return out
+    return out.checkpoint(eager=True) if materialize else out

@@ -42,7 +42,7 @@ def id_map(df: DataFrame, col: str) -> DataFrame:
     distributed table does not define; ascending id is the stable choice.)
     """
     ids = df.select(F.col(col).alias("id")).distinct().withColumn("_one", F.lit(0))
-    out = with_ordinal(ids, "_one", ["id"], pos_col="_pos", size_col="_n")
+    out = with_ordinal(ids, "_one", ["id"], pos_col="_pos", size_col="_n", materialize=True)
     return out.select("id", (F.col("_pos") - 1).alias("idx"))
 
 
@@ -60,8 +60,11 @@ def vocab_sizes(items: DataFrame, users: DataFrame, item: str = "movieId",
 
 def user_sequences(r: DataFrame, user: str = "userId", item: str = "movieId",
                    ts: str = "ts") -> DataFrame:
-    """Long-form time-ordered sequence: (user, pos, item, n)."""
-    return with_ordinal(r.select(user, item, ts), user, [ts, item]).select(user, "pos", item, "n")
+    """Long-form time-ordered sequence: (user, pos, item, n).
+    Materialised: sequences feed several branches (windows, holdouts,
+    transitions, sampling)."""
+    return (with_ordinal(r.select(user, item, ts), user, [ts, item], materialize=True)
+            .select(user, "pos", item, "n"))
 
 
 def leave_one_out(seqs: DataFrame, user: str = "userId", item: str = "movieId") -> DataFrame:
@@ -140,7 +143,7 @@ def ranked_items(items: DataFrame, seed: int, item: str = "movieId") -> DataFram
     """A pseudo-random permutation of the catalogue: (item, prank 0..I-1, I)."""
     keyed = (items.select(item).distinct()
                   .withColumn("_h", lehmer_mix(seed, item)).withColumn("_one", F.lit(0)))
-    out = with_ordinal(keyed, "_one", ["_h", item], pos_col="_p", size_col="_I")
+    out = with_ordinal(keyed, "_one", ["_h", item], pos_col="_p", size_col="_I", materialize=True)
     return out.select(item, (F.col("_p") - 1).alias("prank"), F.col("_I").alias("n_items"))
 
 
