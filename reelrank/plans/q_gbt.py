@@ -100,9 +100,8 @@ def gbt_label_metrics(spark, sf_dir):
     return M.label_metrics(_gbt_topk(f), scored_test(f), K)
 
 
-def _items_with_meta(f: Frames, ids: DataFrame) -> DataFrame:
-    meta = f.movies.select("movieId", "title", "genres", "year")
-    return ids.join(meta, "movieId", "left")
+def _with_title(f: Frames, top: DataFrame) -> DataFrame:
+    return top.join(f.movies.select("movieId", "title"), "movieId", "left")
 
 
 @query("cold_start_topk")
@@ -113,10 +112,10 @@ def cold_start_topk(spark, sf_dir):
     reqs = anonymous(cold_requests(f))
     nb = neighbours(f, reqs).select("request_id", F.col("neighbour").alias("userId"))
     cand = C.unseen_candidates(nb, C.all_items(f.train, f.test), reqs.select("request_id", "movieId"))
-    rows = _items_with_meta(f, cand).join(nb, "request_id")
-    scored = G.score(final_model(f), feature_model(f).transform(rows))
+    pairs = cand.join(nb, "request_id")
+    scored = G.score(final_model(f), feature_model(f).transform_pairs(pairs, f.movies))
     top = R.top_k(scored, K, "request_id", "score", "movieId")
-    return top.select("request_id", "rank", "movieId", "title", "score")
+    return _with_title(f, top).select("request_id", "rank", "movieId", "title", "score")
 
 
 @query("recommend_requests")
@@ -131,10 +130,10 @@ def recommend_requests(spark, sf_dir):
     who = (reqs.select("request_id", "userId").distinct().join(nb, "request_id", "left")
                .select("request_id", F.coalesce("userId", "_nb").alias("userId")))
     cand = C.unseen_candidates(who, f.train.select("movieId").distinct(), excl)
-    rows = _items_with_meta(f, cand).join(who, "request_id")
-    scored = G.score(final_model(f), feature_model(f).transform(rows))
+    pairs = cand.join(who, "request_id")
+    scored = G.score(final_model(f), feature_model(f).transform_pairs(pairs, f.movies))
     top = R.top_k(scored, K, "request_id", "score", "movieId")
-    return top.select("request_id", "rank", "movieId", "title", "score")
+    return _with_title(f, top).select("request_id", "rank", "movieId", "title", "score")
 
 
 @query("attribution_summary")
