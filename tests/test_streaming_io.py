@@ -70,3 +70,16 @@ def test_als_unseen_is_exact(spark):
         ms = sorted(-float(np.float32(U[u] @ I[i])) for i in mine)
         ws = [s for s, _ in scores[:10]]
         assert np.allclose(ms, ws, atol=1e-4)
+
+
+def test_pair_features_equal_row_features(spark):
+    from pyspark.ml.functions import vector_to_array
+    from reelrank.plans import q_gbt
+    f = Frames(spark, SF)
+    fm = q_gbt.feature_model(f)
+    rows = f.temp("test")
+    a = fm.transform(rows).select("userId", "movieId", vector_to_array("features").alias("v"))
+    b = fm.transform_pairs(rows.select("userId", "movieId"), f.movies) \
+          .select("userId", "movieId", vector_to_array("features").alias("v"))
+    key = lambda r: (r.userId, r.movieId)
+    assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
