@@ -8,8 +8,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_MANTISSA = 1 << 53
-
 
 def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -30,14 +28,6 @@ def binary_label(rating: str | Column, threshold: float = 4.0) -> Column:
     return F.when(col(rating) >= threshold, F.lit(1)).otherwise(F.lit(0))
 
 
-def seeded_uniform(seed: int, *cols: str | Column) -> Column:
-    """Deterministic pseudo-random double in [0, 1) from a hash of the key
-    columns and a seed. Unlike rand() it does not depend on partitioning, so
-    a recomputed task reproduces the same draws."""
-    h = F.xxhash64(F.lit(seed), *[col(c) for c in cols])
-    return (F.pmod(h, F.lit(_MANTISSA)).cast("double") / float(_MANTISSA))
-
-
 def dcg(labels: str | Column) -> Column:
     """sum(rel_i / log2(i + 2)) over a 0-based ranked array."""
     terms = F.transform(col(labels), lambda x, i: x.cast("double") / F.log2(i + 2))

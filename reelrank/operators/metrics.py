@@ -91,11 +91,6 @@ def ndcg_per_user(topk: DataFrame, user: str = "userId", rank: str = "rank",
                  .withColumn("ndcg_at_k", ratio("dcg", "idcg")))
 
 
-def mean_of(per_user: DataFrame, col: str, alias: str) -> DataFrame:
-    """Mean over users of a per-user value (NULLs skipped)."""
-    return per_user.agg(round6(F.avg(col)).alias(alias))
-
-
 def label_metrics(topk: DataFrame, scored: DataFrame, k: int = 10, user: str = "userId",
                   rank: str = "rank", label: str = "label") -> DataFrame:
     """One row with precision@k, recall@k and nDCG@k (label family)."""

@@ -6,7 +6,6 @@ from pyspark.ml.feature import RegexTokenizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelrank.functions.exprs import left_pad
 from reelrank.operators import metrics as M
 from reelrank.operators import prep as P
 from reelrank.operators import sequences as S
@@ -240,5 +239,3 @@ def next_items(spark, sf_dir):
     trans = S.transitions(S.user_sequences(active_train(f)))
     return S.next_items(_requests(f), trans, K)
 
-
-__all__ = ["left_pad"]
