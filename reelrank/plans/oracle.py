@@ -567,3 +567,21 @@ FROM (SELECT DISTINCT userId, movieId FROM train) d GROUP BY userId""")
 seq_oracle("encode_history", """
 WITH v AS (SELECT movieId, row_number() OVER (ORDER BY movieId) AS tok FROM (SELECT DISTINCT movieId FROM train) t)
 SELECT r.request_id, r.pos, r.movieId, v.tok FROM reqs r JOIN v ON r.movieId = v.movieId""")
+
+
+# ------------------------------------------------------------ column types
+# Spark numbers rows, positions and ranks with 32-bit ints where DuckDB's
+# row_number() gives BIGINT; these columns are cast so both schemas agree.
+INT_COLUMNS = {
+    "cosine_neighbours": ["rank"], "encode_history": ["pos", "tok"],
+    "encode_ids": ["item_idx", "user_idx"], "enrich_recommendations": ["rank"],
+    "genre_vocab": ["term_index"], "global_index": ["index"], "hybrid": ["rank"],
+    "id_map": ["idx"], "id_map_roundtrip": ["idx"], "item_sets": ["n_items"],
+    "jaccard_neighbours": ["rank"], "leave_one_out": ["n_train"], "map_external": ["rank"],
+    "negatives": ["draw"], "next_items": ["rank"], "titles_for_ids": ["rank"], "top_k": ["rank"],
+    "top_n_per_user": ["index"], "topk_with_title": ["rank"], "user_sequences": ["pos"],
+}
+
+for _key, _cols in INT_COLUMNS.items():
+    _casts = ", ".join(f"CAST({c} AS INTEGER) AS {c}" for c in _cols)
+    ORACLE[_key] = f"SELECT * REPLACE ({_casts}) FROM (\n{ORACLE[_key]}\n) AS typed"
