@@ -107,14 +107,15 @@ def _with_title(f: Frames, top: DataFrame) -> DataFrame:
 @query("cold_start_topk")
 def cold_start_topk(spark, sf_dir):
     """Anonymous requests borrow their Jaccard neighbour's user index;
-    unseen items are scored and the top 10 kept per request."""
+    every catalogue item outside the request's history is scored (once per
+    tree cell of the user index, see ``gbt.recommend_catalogue``) and the top
+    10 kept per request."""
     f = Frames(spark, sf_dir)
     reqs = anonymous(cold_requests(f))
     nb = neighbours(f, reqs).select("request_id", F.col("neighbour").alias("userId"))
-    cand = C.unseen_candidates(nb, C.all_items(f.train, f.test), reqs.select("request_id", "movieId"))
-    pairs = cand.join(nb, "request_id")
-    scored = G.score(final_model(f), feature_model(f).transform_pairs(pairs, f.movies))
-    top = R.top_k(scored, K, "request_id", "score", "movieId")
+    items = C.all_items(f.train, f.test).join(f.movies, "movieId")
+    top = G.recommend_catalogue(final_model(f), feature_model(f), nb,
+                                reqs.select("request_id", "movieId"), items, K)
     return _with_title(f, top).select("request_id", "rank", "movieId", "title", "score")
 
 
@@ -122,17 +123,16 @@ def cold_start_topk(spark, sf_dir):
 def recommend_requests(spark, sf_dir):
     """The request recommender as one distributed job: exclusions
     by the known / anonymous rule, every other training item scored for the
-    request's (own or borrowed) user, top 10 with titles."""
+    request's (own or borrowed) user (once per tree cell of the user index),
+    top 10 with titles."""
     f = Frames(spark, sf_dir)
     reqs = cold_requests(f)
     excl = exclusions(f, reqs)
     nb = neighbours(f, anonymous(reqs)).select("request_id", F.col("neighbour").alias("_nb"))
     who = (reqs.select("request_id", "userId").distinct().join(nb, "request_id", "left")
                .select("request_id", F.coalesce("userId", "_nb").alias("userId")))
-    cand = C.unseen_candidates(who, f.train.select("movieId").distinct(), excl)
-    pairs = cand.join(who, "request_id")
-    scored = G.score(final_model(f), feature_model(f).transform_pairs(pairs, f.movies))
-    top = R.top_k(scored, K, "request_id", "score", "movieId")
+    items = f.train.select("movieId").distinct().join(f.movies, "movieId")
+    top = G.recommend_catalogue(final_model(f), feature_model(f), who, excl, items, K)
     return _with_title(f, top).select("request_id", "rank", "movieId", "title", "score")
 
 

@@ -90,14 +90,18 @@ def request_exclusions(spark, sf_dir):
 @query("cold_start_candidates")
 def cold_start_candidates(spark, sf_dir):
     """Per anonymous request with a neighbour, the unseen
-    candidate count (all train+test items minus the request's items)."""
-    from reelrank.operators.candidates import all_items, unseen_candidates
+    candidate count: catalogue size (train + test items) minus the request's
+    distinct items found in the catalogue -- counted, not enumerated."""
+    from reelrank.operators.candidates import all_items
     f = Frames(spark, sf_dir)
     reqs = anonymous(cold_requests(f))
     nb = neighbours(f, reqs).select("request_id", "neighbour")
-    cand = unseen_candidates(nb, all_items(f.train, f.test), reqs.select("request_id", "movieId"))
-    return (cand.join(nb, "request_id").groupBy("request_id", "neighbour")
-                .agg(F.count(F.lit(1)).alias("n_candidates")))
+    items = all_items(f.train, f.test)
+    n_items = items.count()                                       # one scalar
+    seen_n = (reqs.select("request_id", "movieId").distinct().join(items, "movieId", "left_semi")
+                  .groupBy("request_id").agg(F.count(F.lit(1)).alias("_s")))
+    return nb.join(seen_n, "request_id", "left").select(
+        "request_id", "neighbour", (F.lit(n_items) - F.coalesce("_s", F.lit(0))).alias("n_candidates"))
 
 
 @query("user_genre_profile")
