@@ -296,10 +296,9 @@ def next_items(requests: DataFrame, trans: DataFrame, k: int = 10, req: str = "r
                item: str = "movieId") -> DataFrame:
     """M25 (re-aimed): score candidate next items by transition counts from
     the request's last item, drop items already in the request, keep top-k
-    (count desc, item asc). Returns (request, rank, item, score)."""
-    from reelrank.operators.rank import top_k
+    (count desc, item asc). Each request reads only the first k + |history|
+    transitions of its last item. Returns (request, rank, item, score)."""
+    from reelrank.operators.rank import top_k_excluding
     last = requests.groupBy(req).agg(F.max_by(item, "pos").alias("prev_item"))
-    cand = (last.join(trans, "prev_item")
-                .select(req, F.col("next_item").alias(item), F.col("transitions").alias("score")))
-    cand = cand.join(requests.select(req, item), [req, item], "left_anti")
-    return top_k(cand, k, req, "score", item).select(req, "rank", item, "score")
+    lists = trans.select("prev_item", F.col("next_item").alias(item), F.col("transitions").alias("score"))
+    return top_k_excluding(lists, last, requests.select(req, item), k, "prev_item", req, item)
