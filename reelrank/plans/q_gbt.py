@@ -127,8 +127,9 @@ def recommend_requests(spark, sf_dir):
     top 10 with titles."""
     f = Frames(spark, sf_dir)
     reqs = cold_requests(f)
-    excl = exclusions(f, reqs)
-    nb = neighbours(f, anonymous(reqs)).select("request_id", F.col("neighbour").alias("_nb"))
+    found = neighbours(f, anonymous(reqs)).checkpoint(eager=True)   # one row per request
+    excl = exclusions(f, reqs, found)
+    nb = found.select("request_id", F.col("neighbour").alias("_nb"))
     who = (reqs.select("request_id", "userId").distinct().join(nb, "request_id", "left")
                .select("request_id", F.coalesce("userId", "_nb").alias("userId")))
     items = f.train.select("movieId").distinct().join(f.movies, "movieId")

@@ -36,7 +36,8 @@ def cold_requests(f: Frames) -> DataFrame:
     known = hist.select(F.col("userId").alias("request_id"), "userId", "movieId")
     anon = hist.select((-F.col("userId")).alias("request_id"),
                        F.lit(None).cast("int").alias("userId"), "movieId")
-    return known.unionByName(anon)
+    # the batch feeds several branches (exclusions, neighbours, scoring)
+    return known.unionByName(anon).checkpoint(eager=True)
 
 
 def anonymous(reqs: DataFrame) -> DataFrame:
@@ -48,15 +49,18 @@ def neighbours(f: Frames, reqs: DataFrame) -> DataFrame:
                                   f.train.select("userId", "movieId"), k=1)
 
 
-def exclusions(f: Frames, reqs: DataFrame) -> DataFrame:
+def exclusions(f: Frames, reqs: DataFrame, nb: DataFrame | None = None) -> DataFrame:
     """M19 exclusion rule per request: logged-in -> own training history +
     given items; anonymous -> nearest neighbour's training items + given
-    items; anonymous without neighbour -> given items only."""
+    items; anonymous without neighbour -> given items only. ``nb`` may pass
+    already computed neighbours (request_id, neighbour)."""
     given = reqs.select("request_id", "movieId")
     known_ids = reqs.filter(F.col("userId").isNotNull()).select("request_id", "userId").distinct()
     known_ids = known_ids.join(f.train.select("userId").distinct(), "userId", "left_semi")
     own = known_ids.join(f.train.select("userId", "movieId"), "userId").select("request_id", "movieId")
-    nb = neighbours(f, anonymous(reqs)).select("request_id", F.col("neighbour").alias("userId"))
+    if nb is None:
+        nb = neighbours(f, anonymous(reqs))
+    nb = nb.select("request_id", F.col("neighbour").alias("userId"))
     borrowed = nb.join(f.train.select("userId", "movieId"), "userId").select("request_id", "movieId")
     return given.unionByName(own).unionByName(borrowed).distinct()
 
