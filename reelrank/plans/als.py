@@ -16,7 +16,7 @@ from reelrank.operators.candidates import drop_seen_anti
 from reelrank.operators.rank import top_n_per_user
 from reelrank.session import ensure_checkpoint_dir
 
-# Fixed configurations named in the reference notebook.
+# The two ALS configurations to match (defaults and tuned).
 DEFAULTS = dict(rank=10, max_iter=10, reg=0.1)     # library defaults, "before"
 TUNED = dict(rank=20, max_iter=15, reg=0.1)        # "after"; fetch 50, keep 10
 FETCH, KEEP = 50, 10
