@@ -73,6 +73,13 @@ class Frames:
     def temp(self, name: str) -> DataFrame:
         return with_label(normalise_types(T.denormalised(self.split(name), self.movies)))
 
+    def train_items(self) -> DataFrame:
+        """Item rows (movieId, title, genres, year) of the items rated in the
+        training split: the catalogue semi-joined to the distinct training
+        item ids, rather than a distinct over every denormalised rating row
+        (one metadata row per item, so the result is the same)."""
+        return self.movies.join(self.train.select("movieId").distinct(), "movieId", "left_semi")
+
     # --- deterministic item score (stands in for a model score) ----------
     @cached_property
     def item_score(self) -> DataFrame:

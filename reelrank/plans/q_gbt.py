@@ -87,7 +87,7 @@ def gbt_recommendations(spark, sf_dir):
     """M12 with model scores: per-user unseen top-10 with titles."""
     f = Frames(spark, sf_dir)
     top = _gbt_topk(f)
-    meta = P.item_meta(f.temp("train"))
+    meta = P.item_meta(f.train_items())
     out = top.join(meta, top["movieId"] == meta["movieId_meta"], "left")
     return out.select("userId", "rank", "movieId", F.col("title_meta").alias("title"),
                       F.col("score").alias("predicted_rating"))

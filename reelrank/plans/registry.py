@@ -78,14 +78,14 @@ def all_items(spark, sf_dir):
 
 @query("item_meta")
 def item_meta(spark, sf_dir):
-    """P5: distinct item metadata of the denormalised training split, renamed."""
-    return P.item_meta(Frames(spark, sf_dir).temp("train"))
+    """Distinct item metadata of the items in the training split, renamed."""
+    return P.item_meta(Frames(spark, sf_dir).train_items())
 
 
 @query("item_year")
 def item_year(spark, sf_dir):
-    """One year per item from the denormalised training split."""
-    return P.item_year(Frames(spark, sf_dir).temp("train"))
+    """One year per training item (rows with a missing field dropped)."""
+    return P.item_year(P.normalise_types(Frames(spark, sf_dir).train_items()))
 
 
 @query("unseen_literal")
@@ -135,7 +135,7 @@ def top_k(spark, sf_dir):
 def topk_with_title(spark, sf_dir):
     """Per-user unseen top-10 with titles."""
     f = Frames(spark, sf_dir)
-    meta = P.item_meta(f.temp("train"))
+    meta = P.item_meta(f.train_items())
     top = _topk(f)
     out = top.join(meta, top["movieId"] == meta["movieId_meta"], "left")
     return (out.select("userId", "rank", "movieId", F.col("title_meta").alias("title"),
