@@ -20,6 +20,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoint files of collected DataFrames are removed by the context cleaner
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -52,7 +54,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
