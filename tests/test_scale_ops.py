@@ -135,3 +135,25 @@ def test_jaccard_hot_items_exact(spark):
             for row in jaccard_neighbours(rdf, pdf, k=k, hot_min=hot_min).orderBy("request_id", "rank").collect():
                 got.setdefault(row.request_id, []).append((row.neighbour, row.inter))
             assert got == {r: v for r, v in want.items() if v}, (k, hot_min)
+
+
+def test_top_k_excluding_matches_brute_force(spark):
+    import random
+    from reelrank.operators.rank import top_k_excluding
+    rng = random.Random(11)
+    lists = [(g, i, float(rng.randint(0, 50))) for g in range(3) for i in range(300)]
+    reqs = [(r, r % 3) for r in range(30)]
+    excl = set()
+    for r in range(30):
+        n = 250 if r == 7 else rng.randint(0, 12)          # request 7 excludes most of its list
+        for i in rng.sample(range(300), n):
+            excl.add((r, i))
+    L = spark.createDataFrame(lists, "g int, movieId int, score double")
+    Q = spark.createDataFrame(reqs, "request_id int, g int")
+    X = spark.createDataFrame(sorted(excl), "request_id int, movieId int")
+    got = sorted((r.request_id, r.rank, r.movieId) for r in top_k_excluding(L, Q, X, 10, "g").collect())
+    want = []
+    for r, g in reqs:
+        cand = sorted(((-s, i) for gg, i, s in lists if gg == g and (r, i) not in excl))[:10]
+        want += [(r, k + 1, i) for k, (_, i) in enumerate(cand)]
+    assert got == sorted(want)
