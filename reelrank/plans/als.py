@@ -110,5 +110,7 @@ def recommend_unseen(model: ALSModel, users: DataFrame, seen: DataFrame, k: int
     for cond, w in passes:
         part = recommend_subset(model, need.filter(cond), w, user)
         recs = part if recs is None else recs.unionByName(part)
+    if recs is None:                                   # no users: empty result
+        recs = recommend_subset(model, need, max(fetch, k), user)
     kept = top_n_per_user(drop_seen_anti(recs, seen, user, item), k, group=user, score="rating", item=item)
     return kept.withColumn("rank", F.col("index") + 1).drop("index")
