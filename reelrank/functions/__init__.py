@@ -1,0 +1 @@
+"""Column expressions: metric formulas, padding, multi-hot genres, portable hashing."""

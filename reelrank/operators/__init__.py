@@ -1,0 +1,2 @@
+"""DataFrame -> DataFrame building blocks (preparation, candidates, ranking,
+metrics, sequences, features, similarity, enrichment, blending)."""

@@ -1,0 +1 @@
+"""Table readers, derived rating/item tables, file sinks and sources."""
