@@ -23,7 +23,9 @@ def start_next_item_stream(spark: SparkSession, request_dir: str, transitions: D
                            sink_dir: str, checkpoint_location: str, k: int = 10,
                            available_now: bool = True) -> StreamingQuery:
     """Start the stream; with ``available_now`` it processes the files
-    present at start and stops."""
+    present at start and stops. Each micro-batch is answered on its own, so
+    all rows of one request must arrive in the same batch (one request per
+    file, or files written whole by one job)."""
     stream = spark.readStream.schema(REQUEST_SCHEMA).parquet(request_dir)
 
     def answer(batch: DataFrame, epoch_id: int) -> None:
