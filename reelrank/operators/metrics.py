@@ -7,7 +7,7 @@ only for the top-k lists, whose length is bounded by k.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelrank.functions.exprs import dcg, ideal_dcg, ideal_dcg_of_ones, ratio, round6
@@ -93,14 +93,23 @@ def ndcg_per_user(topk: DataFrame, user: str = "userId", rank: str = "rank",
 
 def label_metrics(topk: DataFrame, scored: DataFrame, k: int = 10, user: str = "userId",
                   rank: str = "rank", label: str = "label") -> DataFrame:
-    """One row with precision@k, recall@k and nDCG@k (label family)."""
-    p = label_precision_per_user(topk, user, label).select(user, "precision_at_k")
-    r = label_recall_per_user(topk, scored, user, label).select(user, "recall_at_k")
-    n = ndcg_per_user(topk, user, rank, label).select(user, "ndcg_at_k")
-    per = p.join(r, user, "left").join(n, user, "left")
-    return per.agg(round6(F.avg("precision_at_k")).alias(f"precision_at_{k}"),
-                   round6(F.avg("recall_at_k")).alias(f"recall_at_{k}"),
-                   round6(F.avg("ndcg_at_k")).alias(f"ndcg_at_{k}"))
+    """One row with precision@k, recall@k and nDCG@k (label family).
+
+    One aggregation over the top-k gives each user's positives, list size
+    and rank-ordered labels (at most k); one more over all scored rows gives
+    the recall denominator. Users are those with top-k rows; NULL recall /
+    nDCG (no positive) are skipped by the means."""
+    per = (topk.groupBy(user)
+               .agg(F.sum(label).cast("bigint").alias("_tp"), F.count(label).alias("_n"),
+                    F.array_sort(F.collect_list(F.struct(rank, label))).alias("_p"))
+               .withColumn("_labels", F.transform("_p", lambda s: s[label])))
+    total = scored.groupBy(user).agg(F.sum(label).cast("bigint").alias("_rel"))
+    per = (per.join(total, user, "left")
+              .select(ratio("_tp", "_n").alias("p"), ratio("_tp", "_rel").alias("r"),
+                      ratio(dcg("_labels"), ideal_dcg("_labels")).alias("n")))
+    return per.agg(round6(F.avg("p")).alias(f"precision_at_{k}"),
+                   round6(F.avg("r")).alias(f"recall_at_{k}"),
+                   round6(F.avg("n")).alias(f"ndcg_at_{k}"))
 
 
 def mean_label_precision(topk: DataFrame, user: str = "userId", label: str = "label") -> DataFrame:
@@ -117,22 +126,23 @@ def sampled_metrics_per_user(candidates: DataFrame, k: int = 10, user: str = "us
                              truth_flag: str = "is_truth") -> DataFrame:
     """M16 per user on (user, item, score, is_truth) candidate rows: truth
     items plus sampled negatives. HIT, precision = hits / k (fixed), recall =
-    hits / |truth|, nDCG = dcg / ideal dcg of k ones."""
-    from reelrank.operators.rank import top_k
-    sizes = candidates.groupBy(user).agg(
-        F.sum(F.col(truth_flag).cast("int")).cast("bigint").alias("n_truth"))
-    top = top_k(candidates, k, user, score, item)
-    gains = (top.withColumn("_hit", F.col(truth_flag).cast("int"))
-                .groupBy(user)
-                .agg(F.sum("_hit").cast("bigint").alias("hits"),
-                     F.sum(F.col("_hit") / F.log2(F.col("rank") + 1)).alias("dcg")))
+    hits / |truth|, nDCG = dcg / ideal dcg of k ones.
+
+    A user's candidates are bounded by construction (truth + n negatives), so
+    one rank window and one aggregation over the same user partitioning give
+    every count."""
+    w = Window.partitionBy(user).orderBy(F.col(score).desc(), F.col(item).asc())
+    hit = F.col(truth_flag).cast("int") * (F.col("_rk") <= k).cast("int")
     ideal = ideal_dcg_of_ones(k)
-    return (sizes.join(gains, user, "left")
-                 .fillna({"hits": 0, "dcg": 0.0})
-                 .withColumn("hit", (F.col("hits") > 0).cast("int"))
-                 .withColumn("precision", F.col("hits") / float(k))
-                 .withColumn("recall", ratio("hits", "n_truth"))
-                 .withColumn("ndcg", F.col("dcg") / ideal))
+    return (candidates.withColumn("_rk", F.row_number().over(w))
+                      .groupBy(user)
+                      .agg(F.sum(F.col(truth_flag).cast("int")).cast("bigint").alias("n_truth"),
+                           F.sum(hit).cast("bigint").alias("hits"),
+                           F.sum(hit / F.log2(F.col("_rk") + 1)).alias("dcg"))
+                      .withColumn("hit", (F.col("hits") > 0).cast("int"))
+                      .withColumn("precision", F.col("hits") / float(k))
+                      .withColumn("recall", ratio("hits", "n_truth"))
+                      .withColumn("ndcg", F.col("dcg") / ideal))
 
 
 def sampled_metrics(candidates: DataFrame, k: int = 10, **kw) -> DataFrame:
