@@ -40,9 +40,13 @@ def with_ordinal(df: DataFrame, key: str, order: Sequence[str | Column],
     branches of a query (each branch then scans it instead of re-joining).
     """
     spark = df.sparkSession
-    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    ranged = (df.repartitionByRange(parts, F.col(key), *order_cols)
+    # Without an explicit count the range shuffle uses
+    # spark.sql.shuffle.partitions and AQE may merge adjacent (still ordered)
+    # ranges for small inputs; partition ids keep following the key order.
+    ranged = (df.repartitionByRange(num_partitions, F.col(key), *order_cols)
+              if num_partitions else df.repartitionByRange(F.col(key), *order_cols))
+    ranged = (ranged
                 .sortWithinPartitions(F.col(key), *order_cols)
                 .withColumn("_rid", F.monotonically_increasing_id())
                 .withColumn("_pid", F.shiftright(F.col("_rid"), _ROW_BITS)))

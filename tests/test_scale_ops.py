@@ -23,7 +23,7 @@ def test_ordinal_matches_row_number(spark):
     want = {(r.userId, r.movieId): (r.p, r.c) for r in df.select(
         "userId", "movieId", F.row_number().over(w).alias("p"),
         F.count("*").over(Window.partitionBy("userId")).alias("c")).collect()}
-    for parts in (1, 3, 16):
+    for parts in (None, 1, 3, 16):
         got = {(r.userId, r.movieId): (r.pos, r.n) for r in
                with_ordinal(df, "userId", ["ts", "movieId"], num_partitions=parts).collect()}
         assert got == want
