@@ -243,3 +243,33 @@ def encode_history(spark, sf_dir):
     vocab = S.id_map(f.train, "movieId").select(F.col("id").alias("movieId"),
                                                 (F.col("idx") + 1).alias("tok"))
     return _requests(f).join(vocab, "movieId").select("request_id", "pos", "movieId", "tok")
+
+
+@query("hybrid_als_profile")
+def hybrid_als_profile(spark, sf_dir):
+    """M28-M30 as designed: for each cold user, blend (0.5 / 0.5) the ALS
+    top-50 (rating / 5) with a user-based score -- the cosine-weighted share
+    of the 10 nearest profiles whose users rated the item >= 4 -- and keep
+    the top 10 items the user has not rated."""
+    from reelrank.plans import als as A
+    f = Frames(spark, sf_dir)
+    users = cold_users(f)
+    model = A.fit_als(f.train, **A.DEFAULTS, cache_key=f"{sf_dir}:train")
+    a = (A.recommend_subset(model, users, A.FETCH)
+          .select("userId", "movieId", (F.col("rating") / 5.0).alias("score")))
+    req_prof = (SIM.genre_profile(f.test.join(users, "userId", "left_semi"), f.movies)
+                   .withColumn("request_id", F.col("userId")).withColumnRenamed("userId", "req_user"))
+    nb = SIM.cosine_neighbours(req_prof, SIM.genre_profile(f.train, f.movies), K,
+                               exclude_self="req_user")
+    liked = P.positives(f.train).select(F.col("userId").alias("neighbour"), "movieId")
+    total = nb.groupBy("request_id").agg(F.sum("cosine").alias("_tot"))
+    b = (nb.join(liked, "neighbour").groupBy("request_id", "movieId")
+           .agg(F.sum("cosine").alias("_s")).join(total, "request_id")
+           .select(F.col("request_id").alias("userId"), "movieId",
+                   (F.col("_s") / F.col("_tot")).alias("score")))
+    # rated items leave both score sets before the blend, so the blend's
+    # own top-k (a partial WindowGroupLimit) already gives unseen items
+    seen = f.ratings.select("userId", "movieId").join(users, "userId", "left_semi")
+    a = a.join(seen, ["userId", "movieId"], "left_anti")
+    b = b.join(seen, ["userId", "movieId"], "left_anti")
+    return blend(a, b, ALPHA, K).select("userId", "rank", "movieId", "score")

@@ -116,3 +116,15 @@ def test_tune_and_refit_small(spark):
     best = table.first()
     assert model.getMaxDepth() == best["max_depth"] and model.getMaxIter() == best["num_round"]
     assert G.score(model, fm.transform(f.temp("test"))).count() > 0
+
+
+def test_hybrid_als_profile_properties(spark):
+    import __spark_entry__ as E
+    out = E.queries()["hybrid_als_profile"](spark, SF).collect()
+    f = Frames(spark, SF)
+    rated = {(r.userId, r.movieId) for r in f.ratings.select("userId", "movieId").collect()}
+    per = {}
+    for r in out:
+        assert (r.userId, r.movieId) not in rated
+        per.setdefault(r.userId, []).append(r.rank)
+    assert per and all(sorted(v) == list(range(1, len(v) + 1)) and len(v) <= 10 for v in per.values())
