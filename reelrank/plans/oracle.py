@@ -585,3 +585,35 @@ INT_COLUMNS = {
 for _key, _cols in INT_COLUMNS.items():
     _casts = ", ".join(f"CAST({c} AS INTEGER) AS {c}" for c in _cols)
     ORACLE[_key] = f"SELECT * REPLACE ({_casts}) FROM (\n{ORACLE[_key]}\n) AS typed"
+
+seq_oracle("next_item_sampled_metrics", _NEG + """,
+c AS (
+  SELECT userId, movieId, 1 AS is_truth FROM hseq WHERE pos > n - 10
+  UNION ALL SELECT userId, movieId, 0 AS is_truth FROM neg),
+li AS (SELECT userId, movieId AS prev_item FROM hseq WHERE pos = n - 10),
+learn AS (
+  SELECT a.userId, a.movieId,
+         row_number() OVER (PARTITION BY a.userId ORDER BY a.ts, a.movieId) AS pos
+  FROM allpos a
+  WHERE NOT EXISTS (SELECT 1 FROM hseq h WHERE h.pos > h.n - 10
+                    AND h.userId = a.userId AND h.movieId = a.movieId)),
+ltrans AS (
+  SELECT x.movieId AS prev_item, y.movieId AS next_item, count(*) AS transitions
+  FROM learn x JOIN learn y ON x.userId = y.userId AND y.pos = x.pos + 1
+  GROUP BY x.movieId, y.movieId),
+sc AS (
+  SELECT c.*, coalesce(CAST(t.transitions AS DOUBLE), 0.0) AS score
+  FROM c LEFT JOIN li ON c.userId = li.userId
+         LEFT JOIN ltrans t ON t.prev_item = li.prev_item AND t.next_item = c.movieId),
+rk AS (SELECT *, row_number() OVER (PARTITION BY userId ORDER BY score DESC, movieId) AS r FROM sc),
+per AS (
+  SELECT userId, sum(is_truth) AS n_truth,
+         sum(CASE WHEN r <= 10 THEN is_truth ELSE 0 END) AS hits,
+         sum(CASE WHEN r <= 10 THEN is_truth / log2(r + 1) ELSE 0 END) AS dcg
+  FROM rk GROUP BY userId)
+SELECT round(avg(dcg / 4.543559338088346), 6) AS ndcg_at_10,
+       round(avg(CASE WHEN hits > 0 THEN 1 ELSE 0 END), 6) AS hit_at_10,
+       round(avg(hits / 10.0), 6) AS precision_at_10,
+       round(avg(hits / NULLIF(n_truth, 0)), 6) AS recall_at_10,
+       count(*) AS users
+FROM per""")

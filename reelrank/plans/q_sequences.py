@@ -239,3 +239,30 @@ def next_items(spark, sf_dir):
     trans = S.transitions(S.user_sequences(active_train(f)))
     return S.next_items(_requests(f), trans, K)
 
+
+
+@query("next_item_sampled_metrics")
+def next_item_sampled_metrics(spark, sf_dir):
+    """M16 applied to the re-aimed next-item model (M25): holdout users'
+    truth (last 10) + 100 sampled negatives, scored by the transition count
+    from the user's last input item (0 when none), with transitions learnt
+    from all positive sequences minus the truth rows; nDCG / HIT / precision
+    / recall @10."""
+    f = Frames(spark, sf_dir)
+    h = _holdout(f)
+    negs = S.sample_negatives(h.select("userId"), h.select("userId", "movieId"), f.movies,
+                              S.NUM_NEGATIVES, SEED)
+    truth = h.filter(F.col("part") == "truth").select("userId", "movieId", F.lit(True).alias("is_truth"))
+    cand = truth.unionByName(negs.select("userId", "movieId", F.lit(False).alias("is_truth")))
+    last_input = (h.filter(F.col("part") == "input").groupBy("userId")
+                   .agg(F.max_by("movieId", "pos").alias("prev_item")))
+    # transitions learnt from every positive sequence with the holdout truth
+    # rows removed, so no truth item is seen in training
+    cols = ["userId", "movieId", "rating", "ts"]
+    learn = P.positives(f.ratings.select(*cols)).join(truth.select("userId", "movieId"),
+                                                      ["userId", "movieId"], "left_anti")
+    trans = S.transitions(S.user_sequences(learn))
+    scored = (cand.join(last_input, "userId", "left")
+                  .join(trans.withColumnRenamed("next_item", "movieId"), ["prev_item", "movieId"], "left")
+                  .withColumn("score", F.coalesce(F.col("transitions").cast("double"), F.lit(0.0))))
+    return M.sampled_metrics(scored, K)
