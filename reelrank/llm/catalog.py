@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from reelrank.llm import q_exact_dedup, q_minhash, q_packing, q_sharding, q_topk, q_toxicity
+from reelrank.llm import (q_exact_dedup, q_html_extract, q_line_dedup, q_minhash, q_packing, q_sharding, q_topk,
+                          q_toxicity)
 
-_MODULES = (q_topk, q_packing, q_minhash, q_sharding, q_exact_dedup, q_toxicity)
+_MODULES = (q_topk, q_packing, q_minhash, q_sharding, q_exact_dedup, q_line_dedup, q_html_extract, q_toxicity)
 REGISTRY = {k: f for m in _MODULES for k, f in m.QUERIES.items()}
 ORACLE = {k: s for m in _MODULES for k, s in m.ORACLE.items()}
