@@ -76,26 +76,28 @@ def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
     """
     every = lines(docs, id_col, text_col)
     n = F.size("words")
-    # rows of equal id, number and words are counted, so that one of them can stay
-    table = written(every.select("id", "line_no", n.alias("n"), F.when(n > 0, _key(F.col("words"))).alias("key"),
+    # row tells apart lines of equal id, number and words, so that one of them stays
+    table = written(every.select("id", "line_no", F.monotonically_increasing_id().alias("row"), n.alias("n"), F.when(n > 0, _key(F.col("words"))).alias("key"),
                                  F.when(n >= min_words, _halves()).alias("halves")), "lines")
     distinct = (table.filter("key IS NOT NULL").groupBy("key")
-                .agg(F.min(F.struct("id", "line_no")).alias("first"), F.first("halves").alias("halves")))
+                .agg(F.min(F.struct("id", "line_no", "row")).alias("first"), F.first("halves").alias("halves")))
     filed = distinct.filter("halves IS NOT NULL").select("key", F.explode("halves").alias("half"))
     shared = filed.groupBy("half").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     able = filed.join(shared, "half").select("key").distinct()
-    firsts = distinct.select("key", "first.id", "first.line_no")
+    firsts = distinct.select("key", "first.id", "first.line_no", "first.row")
     able = written(able.join(firsts, "key"), "lines-able")
 
     text = (every.filter(n >= min_words).withColumn("key", _key(F.col("words")))
-            .join(able, ["key", "id", "line_no"], "left_semi").groupBy("key").agg(F.first("words").alias("words")))
+            .join(able.select(F.col("key").alias("k"), F.col("id").alias("i"), F.col("line_no").alias("l")),
+                  (F.col("key") == F.col("k")) & F.col("id").eqNullSafe(F.col("i")) & (F.col("line_no") == F.col("l")), "left_semi")
+            .groupBy("key").agg(F.first("words").alias("words")))
     text = written(text.join(able, "key").select("key", F.struct("id", "line_no", "key").alias("at"), "words"), "lines-text")
     near = _nearest(text)
     verdict = (firsts.join(near, "key", "left")
                .select("key", F.coalesce("near", F.struct("id", "line_no")).alias("keep"),
-                       F.col("near").isNull().alias("stays"), F.struct("id", "line_no").alias("first")))
+                       F.col("near").isNull().alias("stays"), F.struct("id", "line_no", "row").alias("first")))
     joined = table.drop("halves").join(verdict, "key", "left")
-    at = F.struct("id", "line_no")
+    at = F.struct("id", "line_no", "row")
     kept = F.col("key").isNull() | (F.col("stays") & (at == F.col("first")))
     return joined.select("id", "line_no", F.col("n").alias("n_words"), kept.alias("kept"),
                          F.when(F.col("key").isNull(), F.col("id")).otherwise(F.col("keep.id")).alias("keep_id"),
