@@ -5,11 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A request batch joined against the whole item catalogue is broadcast; its
-# row count is checked against this bound first.
-MAX_BROADCAST_REQUESTS = 100_000
-
-
 def seen_items(history: DataFrame, users: DataFrame, user: str = "userId",
                item: str = "movieId") -> DataFrame:
     """Distinct (user, item) pairs of ``history`` for users in ``users``.
@@ -52,27 +47,20 @@ def all_items(*frames: DataFrame, item: str = "movieId") -> DataFrame:
     return out.distinct()
 
 
-def check_request_batch(requests: DataFrame, max_rows: int = MAX_BROADCAST_REQUESTS) -> int:
-    """Count a request batch and refuse to broadcast one above ``max_rows``."""
-    n = requests.count()
-    if n > max_rows:
-        raise ValueError(f"request batch of {n} rows exceeds the broadcast bound {max_rows}; "
-                         "split it into smaller batches")
-    return n
-
-
 def unseen_candidates(requests: DataFrame, items: DataFrame, exclusions: DataFrame,
-                      req: str = "request_id", item: str = "movieId",
-                      max_requests: int = MAX_BROADCAST_REQUESTS) -> DataFrame:
+                      req: str = "request_id", item: str = "movieId", block: int = 4096) -> DataFrame:
     """Every catalogue item for every request, minus that request's
-    exclusions.
+    exclusions. The result itself is requests x items; the scoring paths rank
+    without it.
 
-    The request batch is size-checked and broadcast; the catalogue side is
-    streamed, so the work is (requests x items) spread over the catalogue's
-    partitions, and the exclusions are removed by an anti join keyed on
-    (request, item).
+    The catalogue is cut into blocks of about ``block`` items; each request is
+    sent to each block by number and meets the block's items in an equi-join,
+    so no side is broadcast and a task makes the pairs of a block. The
+    exclusions are removed by an anti join keyed on (request, item).
     """
-    check_request_batch(requests.select(req), max_requests)
-    reqs = F.broadcast(requests.select(req).distinct())
-    pairs = items.select(item).distinct().crossJoin(reqs)
-    return pairs.join(exclusions.select(req, item), [req, item], "left_anti")
+    items = items.select(item).distinct()
+    blocks = -(-items.count() // block) or 1                      # one scalar
+    cut = items.withColumn("_block", F.pmod(F.xxhash64(item), F.lit(blocks)).cast("int"))
+    sent = (requests.select(req).distinct()
+            .withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))))
+    return sent.join(cut, "_block").select(req, item).join(exclusions.select(req, item), [req, item], "left_anti")

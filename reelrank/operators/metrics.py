@@ -162,3 +162,21 @@ def rmse(predictions: DataFrame, label: str = "rating", prediction: str = "predi
     p = predictions.filter(F.col(prediction).isNotNull() & ~F.isnan(prediction))
     return p.agg(round6(F.sqrt(F.avg(F.pow(F.col(label) - F.col(prediction), 2)))).alias("rmse"),
                  F.count(F.lit(1)).alias("n"))
+
+
+def ranking_checks(recs: DataFrame, seen: DataFrame, user: str = "userId", item: str = "movieId",
+                   score: str = "predicted_rating") -> DataFrame:
+    """One row of counts over a ranked recommendation table (user, rank,
+    item, score): users, rows, pairs that were seen, repeated pairs, rows
+    whose rank is not their place in the user's list, and rows that score
+    above the one before."""
+    place = Window.partitionBy(user).orderBy("rank", item)
+    marked = (recs.select(user, "rank", item, F.col(score).alias("_s"))
+              .join(seen.select(user, item).distinct().withColumn("_seen", F.lit(1)), [user, item], "left")
+              .withColumn("_place", F.row_number().over(place)).withColumn("_before", F.lag("_s").over(place)))
+    pairs = marked.groupBy(user, item).agg(F.count(F.lit(1)).alias("_n"), F.sum((F.col("rank") != F.col("_place")).cast("int")).alias("_r"),
+                                           F.sum(F.coalesce((F.col("_s") > F.col("_before")).cast("int"), F.lit(0))).alias("_o"),
+                                           F.max(F.coalesce("_seen", F.lit(0))).alias("_seen"))
+    return pairs.agg(F.count_distinct(user).alias("users"), F.sum("_n").alias("rows"),
+                     F.sum("_seen").cast("bigint").alias("seen_pairs"), (F.sum("_n") - F.count(F.lit(1))).alias("repeated_pairs"),
+                     F.sum("_r").alias("wrong_ranks"), F.sum("_o").alias("wrong_order"))

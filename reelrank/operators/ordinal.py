@@ -25,9 +25,6 @@ from pyspark.sql import functions as F
 
 from reelrank.session import ensure_checkpoint_dir
 
-_ROW_BITS = 33  # monotonically_increasing_id = partition_index << 33 | row_in_partition
-
-
 def with_ordinal(df: DataFrame, key: str, order: Sequence[str | Column],
                  pos_col: str = "pos", size_col: str = "n",
                  num_partitions: int | None = None, materialize: bool = False) -> DataFrame:
@@ -49,7 +46,7 @@ def with_ordinal(df: DataFrame, key: str, order: Sequence[str | Column],
     ranged = (ranged
                 .sortWithinPartitions(F.col(key), *order_cols)
                 .withColumn("_rid", F.monotonically_increasing_id())
-                .withColumn("_pid", F.shiftright(F.col("_rid"), _ROW_BITS)))
+                .withColumn("_pid", F.spark_partition_id()))
     ensure_checkpoint_dir(spark)
     ranged = ranged.checkpoint(eager=True)
     slices = (ranged.groupBy("_pid", key)

@@ -5,15 +5,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelrank.functions.exprs import binary_label
 
-# Literal lists above this size are turned into a join instead of an IN list.
-IN_LIST_LIMIT = 1000
-
-
 def normalise_types(r: DataFrame) -> DataFrame:
     """movieId -> int; year -> int with try_cast (dirty strings become NULL)."""
     out = r
@@ -56,15 +52,17 @@ def item_year(r: DataFrame) -> DataFrame:
 
 
 def exclude_ids(df: DataFrame, ids: Sequence[int] | DataFrame, col: str = "movieId") -> DataFrame:
-    """NOT IN. Short literal lists stay an IN list; long lists or a frame
-    of ids become a left-anti join."""
-    if isinstance(ids, DataFrame):
-        return df.join(ids.select(F.col(ids.columns[0]).alias(col)).distinct(), col, "left_anti")
-    ids = list(ids)
-    if len(ids) <= IN_LIST_LIMIT:
-        return df.filter(~F.col(col).isin(ids))
-    frame = df.sparkSession.createDataFrame([(int(i),) for i in ids], f"{col} int")
-    return df.join(frame, col, "left_anti")
+    """NOT IN a list or frame of ids, as a left-anti join: rows with a
+    NULL id match nothing and stay, whatever the length of the list; NULLs in
+    the list exclude nothing."""
+    if not isinstance(ids, DataFrame):
+        ids = df.sparkSession.createDataFrame([(int(i),) for i in ids if i is not None], f"{col} bigint")
+    return df.join(ids.select(F.col(ids.columns[0]).alias(col)).distinct(), col, "left_anti")
+
+
+def id_frame(spark: SparkSession, ids: Sequence[int], name: str = "userId") -> DataFrame:
+    """A one-column frame of literal ids."""
+    return spark.createDataFrame([(int(i),) for i in ids], f"{name} int")
 
 
 def parse_histories(df: DataFrame, text_col: str, min_items: int = 2) -> DataFrame:

@@ -61,25 +61,19 @@ def top_k_excluding(lists: DataFrame, requests: DataFrame, exclusions: DataFrame
 
     ``lists`` holds (group, item, score); ``requests`` holds (req, group);
     ``exclusions`` holds (req, item). The first k + |exclusions| items of a
-    list always contain k allowed ones, so each request reads only that
-    prefix: list rows are copied into the power-of-two buckets that cover
-    their rank (at most log2 copies) and a request joins the one bucket
-    covering its need. A request with a long exclusion list therefore does
-    not widen what the other requests read, and a popular group is never
-    paired whole with all of its requests. Returns (req, rank, item, score).
+    list always contain k allowed ones, so a request reads just the positions
+    1 .. k + |exclusions| of its list, through a join on (group, position):
+    the rows read are the exclusions plus k per request, whatever the other
+    requests need. Returns (req, rank, item, score).
     """
-    import math
+    from reelrank.operators.ordinal import with_ordinal
+    from reelrank.operators.sequences import explode_range
     ex_n = exclusions.groupBy(req).agg(F.count(F.lit(1)).alias("_ex"))
     need = (requests.select(req, group).distinct().join(ex_n, req, "left")
-                    .withColumn("_need", F.lit(k) + F.coalesce("_ex", F.lit(0))))
-    widest = int(need.agg(F.max("_need")).first()[0] or k)          # one scalar
-    top_exp = max(0, math.ceil(math.log2(max(widest, 1))))
-    ranked = top_k(lists.select(group, item, score), 1 << top_exp, group, score, item, "_lrank")
-    first_exp = F.ceil(F.log2(F.col("_lrank"))).cast("int")
-    ranked = ranked.withColumn("_bucket", F.explode(F.transform(
-        F.sequence(first_exp, F.lit(top_exp)), lambda e: F.pow(F.lit(2), e).cast("int"))))
-    need = need.withColumn("_bucket", F.pow(F.lit(2), F.ceil(F.log2("_need"))).cast("int"))
-    cand = (need.select(req, group, "_bucket")
-                .join(ranked.select(group, "_bucket", item, score), [group, "_bucket"])
-                .join(exclusions.select(req, item), [req, item], "left_anti"))
+                    .select(req, group, (F.lit(k) + F.coalesce("_ex", F.lit(0))).cast("int").alias("_len")))
+    order = with_ordinal(lists.select(group, item, score), group, [F.col(score).desc(), F.col(item).asc()],
+                         pos_col="_pos", size_col="_size", materialize=True)
+    reads = explode_range(need, "_len").withColumn("_pos", (F.col("t") + 1).cast("int"))
+    cand = (reads.select(req, group, "_pos").join(order.select(group, "_pos", item, score), [group, "_pos"])
+                 .join(exclusions.select(req, item), [req, item], "left_anti"))
     return top_k(cand, k, req, score, item).select(req, "rank", item, score)

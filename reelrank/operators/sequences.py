@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelrank.functions.exprs import left_pad, multi_hot
-from reelrank.functions.hashing import lehmer_mix, uniform01
+from reelrank.functions.hashing import hash52, uniform01
 from reelrank.operators.ordinal import with_ordinal
 
 # Fixed values of the sequence model configuration.
@@ -114,15 +114,11 @@ def genre_table(items: DataFrame, vocabulary: Sequence[str], item: str = "movieI
     return items.select(item, multi_hot(genres, vocabulary, substring).alias("genre_vec"))
 
 
-def genre_vocabulary(items: DataFrame, genres: str = "genres", max_size: int = 10_000) -> list[str]:
-    """Distinct genre tokens, ascending. The list is the genre vocabulary
-    (bounded by ``max_size``), not data rows."""
-    toks = (items.select(F.explode(F.split(genres, r"\|")).alias("g")).distinct()
-                 .orderBy("g").limit(max_size + 1))
-    vals = [r.g for r in toks.collect()]
-    if len(vals) > max_size:
-        raise ValueError(f"more than {max_size} distinct genres")
-    return vals
+def genre_vocabulary(items: DataFrame, genres: str = "genres") -> list[str]:
+    """Distinct genre tokens, ascending: the columns of the multi-hot vector
+    (the vector's width, which its consumers hold in each row anyway)."""
+    toks = items.select(F.explode(F.split(genres, r"\|")).alias("g")).distinct().orderBy("g")
+    return [r.g for r in toks.toLocalIterator()]
 
 
 def genre_sequences(seqs: DataFrame, genre_vecs: DataFrame, n_genres: int,
@@ -139,14 +135,6 @@ def genre_sequences(seqs: DataFrame, genre_vecs: DataFrame, n_genres: int,
 
 # ---------------------------------------------------------------- sampling
 
-def ranked_items(items: DataFrame, seed: int, item: str = "movieId") -> DataFrame:
-    """A pseudo-random permutation of the catalogue: (item, prank 0..I-1, I)."""
-    keyed = (items.select(item).distinct()
-                  .withColumn("_h", lehmer_mix(seed, item)).withColumn("_one", F.lit(0)))
-    out = with_ordinal(keyed, "_one", ["_h", item], pos_col="_p", size_col="_I", materialize=True)
-    return out.select(item, (F.col("_p") - 1).alias("prank"), F.col("_I").alias("n_items"))
-
-
 def explode_range(df: DataFrame, length: str, out: str = "t", chunk: int = RANGE_CHUNK) -> DataFrame:
     """One row per t in [0, length) for each input row. Long ranges are first
     split into chunks (rows spread by the following shuffle), then each chunk
@@ -161,37 +149,44 @@ def explode_range(df: DataFrame, length: str, out: str = "t", chunk: int = RANGE
 
 
 def sample_unrated(need: DataFrame, rated: DataFrame, items: DataFrame, seed: int = 0,
-                   user: str = "userId", item: str = "movieId", n_col: str = "n_needed",
-                   max_needed: int | None = None) -> DataFrame:
-    """For each user of ``need`` pick ``n_needed`` distinct items the
-    user has not rated (all unrated items when there are fewer).
-
-    Items are put in one pseudo-random order; each user starts at a hashed
-    offset and walks that circular order. The walk is
-    min(n_needed + rated_count, I) long, which always holds enough unrated
-    items, so the result is exact without enumerating users x items.
-    Returns (user, item, draw) with draw = 0, 1, ... in sampling order.
+                   user: str = "userId", item: str = "movieId", n_col: str = "n_needed") -> DataFrame:
+    """For each user of ``need`` draw ``n_needed`` distinct items the
+    user has not rated, uniformly and independently of other users (all
+    unrated items when there are fewer).
+
+    A user who needs n items and has rated r of the catalogue's I draws item
+    numbers by hash of (seed, user, draw) and keeps the first n distinct
+    unrated ones of 4 n + 64 draws. With 2 (n + r) < I more than half of all
+    draws are new, so these suffice but for a negligible chance; users left
+    short, and users with 2 (n + r) >= I, order the whole catalogue by hash of
+    (seed, user, item) instead, which for the latter is at most 2 (n + r) rows.
+    Both are uniform draws without replacement, and neither enumerates users
+    x items. Returns (user, item, draw) with draw = 0, 1, ... in drawing order.
     """
-    perm = ranked_items(items, seed, item)
-    n_items = int(perm.agg(F.max("n_items")).first()[0] or 0)   # one scalar
-    rated_d = rated.select(user, item).distinct().join(perm.select(item), item, "left_semi")
+    index = id_map(items, item).select(F.col("id").alias(item), "idx")
+    n_items = index.count()                                       # one scalar
+    rated_d = rated.select(user, item).distinct().join(index.select(item), item, "left_semi")
     rcount = rated_d.groupBy(user).agg(F.count(F.lit(1)).alias("_r"))
-    plan = (need.select(user, n_col).join(rcount, user, "left")
-                .withColumn("_len", F.least(F.col(n_col) + F.coalesce("_r", F.lit(0)), F.lit(n_items)))
-                .withColumn("_start", F.pmod(lehmer_mix(seed + 1, user), F.lit(max(n_items, 1)))))
-    walk = explode_range(plan.select(user, n_col, "_start", "_len"), "_len")
-    walk = walk.withColumn("prank", F.pmod(F.col("_start") + F.col("t"), F.lit(max(n_items, 1))))
-    cand = (walk.join(perm.select(item, "prank"), "prank")
-                .join(rated_d, [user, item], "left_anti"))
-    # keep the first n_needed unrated items of each walk: a per-user top-k
-    # with k = the largest request, so each task forwards at most k rows of
-    # a user (partial WindowGroupLimit) however long that user's walk is
-    if max_needed is None:
-        max_needed = int(need.agg(F.max(n_col)).first()[0] or 0)   # one scalar
+    plan = (need.select(user, F.col(n_col).cast("int").alias("_n")).join(rcount, user, "left")
+                .withColumn("_dense", 2 * (F.col("_n") + F.coalesce("_r", F.lit(0))) >= n_items))
+    drawn = explode_range(plan.filter(~F.col("_dense")).select(user, "_n", (4 * F.col("_n") + 64).alias("_len")), "_len")
+    drawn = (drawn.withColumn("idx", F.pmod(hash52(seed, "draw", user, "t"), F.lit(max(n_items, 1))).cast("int"))
+                  .groupBy(user, "_n", "idx").agg(F.min("t").cast("bigint").alias("_o"))
+                  .join(index, "idx").join(rated_d, [user, item], "left_anti"))
+    found = drawn.groupBy(user).agg(F.count(F.lit(1)).alias("_found"))
+    whole = (plan.join(found, user, "left")
+                 .filter(F.col("_dense") | (F.coalesce("_found", F.lit(0)) < F.col("_n")))
+                 .select(user, "_n", F.lit(n_items).alias("_len")))
+    ordered = (explode_range(whole, "_len").withColumnRenamed("t", "idx").join(index, "idx")
+               .join(rated_d, [user, item], "left_anti")
+               .withColumn("_o", F.lit(1 << 52).cast("bigint") + hash52(seed, "item", user, item)))
+    cand = (drawn.select(user, "_n", item, "_o").unionByName(ordered.select(user, "_n", item, "_o"))
+                 .groupBy(user, "_n", item).agg(F.min("_o").alias("_o")))
+    # partial top-k: each task forwards at most the largest request of rows a user
+    most = int(need.agg(F.max(n_col)).first()[0] or 0)            # one scalar
     from reelrank.operators.rank import top_k
-    ranked = top_k(cand.select(user, item, "t", n_col).withColumn("_neg_t", -F.col("t")),
-                   max(max_needed, 1), user, "_neg_t", item, "_k")
-    return (ranked.filter(F.col("_k") <= F.col(n_col))
+    ranked = top_k(cand.withColumn("_neg", -F.col("_o")), max(most, 1), user, "_neg", item, "_k")
+    return (ranked.filter(F.col("_k") <= F.col("_n"))
                   .select(user, item, (F.col("_k") - 1).alias("draw")))
 
 
@@ -199,7 +194,7 @@ def sample_negatives(users: DataFrame, rated: DataFrame, items: DataFrame, n: in
                      seed: int = 0, user: str = "userId", item: str = "movieId") -> DataFrame:
     """``n`` unrated items per user (fewer when not enough exist)."""
     need = users.select(user).distinct().withColumn("n_needed", F.lit(n))
-    return sample_unrated(need, rated, items, seed, user, item, max_needed=n)
+    return sample_unrated(need, rated, items, seed, user, item)
 
 
 def masked_sequences(seqs: DataFrame, items: DataFrame, genre_vecs: DataFrame | None,
@@ -218,7 +213,7 @@ def masked_sequences(seqs: DataFrame, items: DataFrame, genre_vecs: DataFrame |
     imap = id_map(items, item).select(F.col("id").alias(item), (F.col("idx") + 1).alias("tok"))
     n_item = imap.count()                                         # one scalar
     train = seqs.filter((F.col("pos") < F.col("n")) & (F.col("pos") >= F.col("n") - max_len))
-    u = uniform01(seed, user, "pos")
+    u = uniform01(seed, "mask", user, "pos")
     v = u / mask_prob
     marked = (train.join(imap, item, "left")
                    .withColumn("chosen", (u < mask_prob).cast("int"))
@@ -227,8 +222,7 @@ def masked_sequences(seqs: DataFrame, items: DataFrame, genre_vecs: DataFrame |
                                           .when(v < 0.9, "random").otherwise("keep")))
     need = (marked.filter(F.col("action") == "random").groupBy(user)
                   .agg(F.count(F.lit(1)).alias("n_needed")))
-    draws = sample_unrated(need, seqs.select(user, item), items, seed + 7, user, item,
-                           max_needed=max_len)
+    draws = sample_unrated(need, seqs.select(user, item), items, seed + 7, user, item)
     draws = draws.join(imap.withColumnRenamed(item, "_rnd_item").withColumnRenamed("tok", "_rnd_tok"),
                        draws[item] == F.col("_rnd_item")).select(user, "draw", "_rnd_item", "_rnd_tok")
     # random slots per user are a subset of the <= max_len window rows
@@ -266,21 +260,33 @@ def masked_sequences(seqs: DataFrame, items: DataFrame, genre_vecs: DataFrame |
 # ---------------------------------------------------------------- serving
 
 def serving_sequences(requests: DataFrame, items: DataFrame, max_len: int = MAX_LEN,
-                      req: str = "request_id", item: str = "movieId") -> DataFrame:
+                      req: str = "request_id", item: str = "movieId",
+                      genre_vecs: DataFrame | None = None, n_genres: int = 0) -> DataFrame:
     """Long-form requests (request, pos, item) -> encoded known items in
-    order, mask token appended, last ``max_len`` kept, left-padded.
+    order, mask token appended, last ``max_len`` kept, left-padded; with
+    ``genre_vecs`` also the tokens' genre rows (zeros for pads, the mask token
+    and items without one).
 
     Unknown items are dropped before the window, so the window holds the
     last ``max_len - 1`` known items plus the mask token."""
     imap = id_map(items, item).select(F.col("id").alias(item), (F.col("idx") + 1).alias("tok"))
     n_item = imap.count()                                         # one scalar
     known = requests.join(imap, item)  # inner join drops unknown ids
-    ordered = with_ordinal(known.select(req, "pos", "tok").withColumnRenamed("pos", "_orig"),
+    zero = F.array_repeat(F.lit(0), n_genres)
+    extra = []
+    if genre_vecs is not None:
+        known = known.join(genre_vecs, item, "left").withColumn("genre_vec", F.coalesce("genre_vec", zero))
+        extra = ["genre_vec"]
+    ordered = with_ordinal(known.select(req, "pos", "tok", *extra).withColumnRenamed("pos", "_orig"),
                            req, ["_orig"])
-    arr = window_arrays(ordered, max_len - 1, req, "tok")
+    arr = window_arrays(ordered, max_len - 1, req, "tok", extra=extra)
     all_reqs = requests.select(req).distinct().join(arr, req, "left")
     toks = F.array_append(F.coalesce("toks", F.array().cast("array<int>")), F.lit(n_item + 1).cast("int"))
-    return all_reqs.select(req, left_pad(toks, max_len).alias("tokens"))
+    cols = [req, left_pad(toks, max_len).alias("tokens")]
+    if genre_vecs is not None:
+        rows = F.array_append(F.coalesce("genre_vecs", F.array().cast("array<array<int>>")), zero)
+        cols.append(left_pad(rows, max_len, pad=zero).alias("genre_seq"))
+    return all_reqs.select(*cols)
 
 
 def transitions(seqs: DataFrame, user: str = "userId", item: str = "movieId") -> DataFrame:
@@ -292,13 +298,49 @@ def transitions(seqs: DataFrame, user: str = "userId", item: str = "movieId") ->
              .agg(F.count(F.lit(1)).alias("transitions")))
 
 
-def next_items(requests: DataFrame, trans: DataFrame, k: int = 10, req: str = "request_id",
-               item: str = "movieId") -> DataFrame:
-    """M25 (re-aimed): score candidate next items by transition counts from
-    the request's last item, drop items already in the request, keep top-k
-    (count desc, item asc). Each request reads only the first k + |history|
-    transitions of its last item. Returns (request, rank, item, score)."""
-    from reelrank.operators.rank import top_k_excluding
-    last = requests.groupBy(req).agg(F.max_by(item, "pos").alias("prev_item"))
-    lists = trans.select("prev_item", F.col("next_item").alias(item), F.col("transitions").alias("score"))
-    return top_k_excluding(lists, last, requests.select(req, item), k, "prev_item", req, item)
+def next_scores(requests: DataFrame, trans: DataFrame, req: str = "request_id",
+                item: str = "movieId") -> DataFrame:
+    """M25 (re-aimed): score of every item that follows one of the request's
+    items: the sum of the transition counts from its distinct items. Items of
+    the request are left out. Returns (request, item, score)."""
+    given = requests.select(req, item).distinct()
+    return (given.select(req, F.col(item).alias("prev_item")).join(trans, "prev_item")
+                .groupBy(req, F.col("next_item").alias(item)).agg(F.sum("transitions").alias("score"))
+                .join(given, [req, item], "left_anti"))
+
+
+def next_items(requests: DataFrame, trans: DataFrame, popularity: DataFrame, k: int = 10,
+               req: str = "request_id", item: str = "movieId") -> DataFrame:
+    """M25 (re-aimed): the k best next items of each request by
+    :func:`next_scores`, backed off to ``popularity`` (item, count; each
+    catalogue item once): ties and items that follow none of the request's
+    items are ordered by count, then id, so every request gets k rows as far
+    as the catalogue allows. Returns (request, rank, item, score).
+
+    Of the items without a score only the k most popular ones that the request
+    neither holds nor has scored can be taken; they are among the first
+    k + (its held and scored items) of one list, and a request reads no more of
+    it than that."""
+    scored = next_scores(requests, trans, req, item)
+    pop = popularity.select(item, F.col("count").alias("_c"))
+    best = _ranked(scored.join(pop, item, "left").withColumn("_c", F.coalesce("_c", F.lit(0))), k, req, item)
+    full = best.groupBy(req).agg(F.max("rank").alias("_have"))
+    short = (requests.select(req).distinct().join(full, req, "left")
+             .filter(F.coalesce("_have", F.lit(0)) < k).select(req))
+    # a short request has fewer than k scored items, so its prefix is k + held + k at most
+    order = with_ordinal(pop.withColumn("_one", F.lit(0)), "_one", [F.col("_c").desc(), F.col(item).asc()],
+                         pos_col="_p", size_col="_i", materialize=True)
+    held = (requests.select(req, item).distinct().join(short, req, "left_semi")
+            .groupBy(req).agg((F.count(F.lit(1)) + 2 * k).cast("int").alias("_len")))
+    reads = explode_range(held, "_len").withColumn("_p", (F.col("t") + 1).cast("int"))
+    fill = (reads.join(order.select("_p", item, "_c"), "_p")
+            .join(requests.select(req, item).distinct(), [req, item], "left_anti")
+            .join(best.select(req, item), [req, item], "left_anti")
+            .select(req, item, F.lit(0).cast("bigint").alias("score"), "_c"))
+    both = best.select(req, item, "score", "_c").unionByName(fill)
+    return _ranked(both, k, req, item).select(req, "rank", item, "score")
+
+
+def _ranked(df: DataFrame, k: int, req: str, item: str) -> DataFrame:
+    w = Window.partitionBy(req).orderBy(F.desc("score"), F.desc("_c"), F.col(item))
+    return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)

@@ -8,19 +8,19 @@ users x items.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelrank.operators.candidates import drop_seen_anti
-from reelrank.operators.rank import top_n_per_user
+from reelrank.operators.rank import top_k, top_n_per_user
 from reelrank.session import ensure_checkpoint_dir
 
 # The two ALS configurations to match (defaults and tuned).
 DEFAULTS = dict(rank=10, max_iter=10, reg=0.1)     # library defaults, "before"
 TUNED = dict(rank=20, max_iter=15, reg=0.1)        # "after"; fetch 50, keep 10
 FETCH, KEEP = 50, 10
-SHARED_WINDOW = 1024
 
 _MODELS: dict[tuple, ALSModel] = {}
 
@@ -73,44 +73,60 @@ def item_lists(recs_nested: DataFrame, user: str = "userId", item: str = "movieI
     return recs_nested.select(user, F.transform("recommendations", lambda x: x[item]).alias("pred_items"))
 
 
-def overfetch(model: ALSModel, users: DataFrame, fetch: int = FETCH, keep: int = KEEP,
-              seen: DataFrame | None = None) -> DataFrame:
-    """M5: fetch ``fetch`` per user, optionally drop seen pairs, keep a
-    zero-based index < ``keep`` per user (the user column is kept)."""
-    recs = recommend_subset(model, users, fetch)
-    if seen is not None:
-        recs = drop_seen_anti(recs, seen)
-    return top_n_per_user(recs, keep, score="rating")
+def overfetch(model: ALSModel, users: DataFrame, fetch: int = FETCH, keep: int = KEEP) -> DataFrame:
+    """M5: fetch ``fetch`` per user, keep a zero-based index < ``keep`` per
+    user (the user column is kept). Nothing is filtered in between; for unseen
+    items use :func:`recommend_unseen`."""
+    return top_n_per_user(recommend_subset(model, users, fetch), keep, score="rating")
 
 
 def recommend_unseen(model: ALSModel, users: DataFrame, seen: DataFrame, k: int = 10,
-                     fetch: int = FETCH, user: str = "userId", item: str = "movieId") -> DataFrame:
+                     user: str = "userId", item: str = "movieId", block: int = 4096) -> DataFrame:
     """Exact per-user top-k among items the user has not seen.
 
-    A user's top (k + |seen items|) always holds at least k unseen items, so
-    each user is fetched with that window rounded up to a power of two (at
-    least ``fetch``, at most the catalogue). Users are bucketed by window, so
-    one heavy user gets a large window without widening everyone else's; the
-    number of buckets is at most log2(catalogue size). Seen pairs are then
-    removed with an anti join and the first k kept.
+    User and item factors are cut into blocks by hash of their id. Each pair
+    of blocks is one group, together with the pairs of it that were seen: its
+    scores are one matrix product, seen pairs are taken out before anything is
+    ranked, and k items a user leave the group. A user with a long history
+    only adds its seen pairs, spread over the item blocks. Users or items the
+    model does not know get no recommendations. Returns (user, rank, item,
+    rating).
     """
-    n_items = model.itemFactors.count()                           # one scalar
-    seen_n = seen.select(user, item).distinct().groupBy(user).agg(F.count(F.lit(1)).alias("_s"))
-    want = F.lit(k) + F.coalesce(F.col("_s"), F.lit(0))
-    window = F.least(F.lit(n_items), F.greatest(F.lit(fetch),
-                     F.pow(F.lit(2), F.ceil(F.log2(want))).cast("int")))
-    need = users.select(user).distinct().join(seen_n, user, "left").select(user, window.alias("_w"))
-    buckets = sorted(r["_w"] for r in need.select("_w").distinct().collect())  # <= log2(I) values
-    # Windows up to SHARED_WINDOW share one scoring pass (at their largest
-    # window); only heavier users get a pass of their own.
-    small = [w for w in buckets if w <= SHARED_WINDOW]
-    passes = ([(F.col("_w") <= SHARED_WINDOW, max(small))] if small else []) + \
-             [(F.col("_w") == w, w) for w in buckets if w > SHARED_WINDOW]
-    recs = None
-    for cond, w in passes:
-        part = recommend_subset(model, need.filter(cond), w, user)
-        recs = part if recs is None else recs.unionByName(part)
-    if recs is None:                                   # no users: empty result
-        recs = recommend_subset(model, need, max(fetch, k), user)
-    kept = top_n_per_user(drop_seen_anti(recs, seen, user, item), k, group=user, score="rating", item=item)
-    return kept.withColumn("rank", F.col("index") + 1).drop("index")
+    n_users, n_items = model.userFactors.count(), model.itemFactors.count()      # two scalars
+    u_blocks, i_blocks = -(-n_users // block) or 1, -(-n_items // block) or 1
+
+    def cut(col: str, n: int):
+        return F.pmod(F.xxhash64(F.col(col).cast("int")), F.lit(n)).cast("int")
+
+    asked = model.userFactors.join(users.select(F.col(user).alias("id")).distinct(), "id", "left_semi")
+    none = F.lit(None).cast("int")
+    factors = (asked.withColumn("_ub", cut("id", u_blocks))
+               .withColumn("_ib", F.explode(F.sequence(F.lit(0), F.lit(i_blocks - 1))))
+               .select("_ub", "_ib", "id", "features", none.alias("seen")))
+    pairs = (seen.select(F.col(user).cast("int").alias("id"), F.col(item).cast("int").alias("seen")).distinct()
+             .join(asked.select("id"), "id", "left_semi")
+             .withColumn("_ub", cut("id", u_blocks)).withColumn("_ib", cut("seen", i_blocks))
+             .select("_ub", "_ib", "id", F.lit(None).cast("array<float>").alias("features"), "seen"))
+    right = (model.itemFactors.withColumn("_ib", cut("id", i_blocks))
+             .withColumn("_ub", F.explode(F.sequence(F.lit(0), F.lit(u_blocks - 1)))))
+
+    def best(left: pd.DataFrame, items: pd.DataFrame) -> pd.DataFrame:
+        who = left[left["seen"].isna()].sort_values("id")
+        if not len(who) or not len(items):
+            return pd.DataFrame({"id": [], "item": [], "rating": []})
+        items = items.sort_values("id")
+        ids, item_ids = who["id"].to_numpy(np.int64), items["id"].to_numpy(np.int64)
+        score = np.stack(who["features"].to_numpy()) @ np.stack(items["features"].to_numpy()).T
+        gone = left[left["seen"].notna()]
+        row, col = np.searchsorted(ids, gone["id"].to_numpy(np.int64)), np.searchsorted(item_ids, gone["seen"].to_numpy(np.int64))
+        known = (col < len(item_ids)) & (item_ids[np.minimum(col, len(item_ids) - 1)] == gone["seen"].to_numpy(np.int64))
+        score[row[known], col[known]] = -np.inf
+        top = np.argsort(-score, axis=1, kind="stable")[:, :k]     # items are in order of id
+        at = np.repeat(np.arange(len(ids)), top.shape[1])
+        out = pd.DataFrame({"id": ids[at], "item": item_ids[top.ravel()], "rating": score[at, top.ravel()]})
+        return out[np.isfinite(out["rating"])]
+
+    found = (factors.unionByName(pairs).groupBy("_ub", "_ib").cogroup(right.groupBy("_ub", "_ib"))
+             .applyInPandas(best, "id int, item int, rating float"))
+    return (top_k(found, k, "id", "rating", "item", "rank")
+            .select(F.col("id").alias(user), "rank", F.col("item").alias(item), "rating"))

@@ -22,6 +22,14 @@ class Frames:
         self.spark = spark
         self.sf_dir = sf_dir
 
+    @cached_property
+    def key(self) -> tuple:
+        """What shared tables and models are kept by: the application, the
+        input folder and the state of its tables, so that a folder written
+        again is read again."""
+        state = T.state(self.spark, self.sf_dir)
+        return (self.spark.sparkContext.applicationId, self.sf_dir, state)
+
     # --- base tables -----------------------------------------------------
     @cached_property
     def ratings(self) -> DataFrame:
@@ -30,7 +38,7 @@ class Frames:
         checkpoint folder. Later queries read that table: a split filter
         prunes partitions, unused columns are not read, and a lost executor
         re-reads files instead of re-deriving them."""
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, "ratings")
+        key = (*self.key, "ratings")
         if key not in _SHARED:
             path = scratch_path(self.spark, f"ratings-{uuid.uuid4().hex}")
             (T.ratings(self.spark, self.sf_dir)

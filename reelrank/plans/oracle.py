@@ -203,7 +203,7 @@ FROM test t JOIN item_score s ON t.movieId = s.movieId""")
 
 # ------------------------------------------------------------ sequences
 
-from reelrank.functions.hashing import lehmer_mix_sql  # noqa: E402
+from reelrank.functions.hashing import SCALE, hash52_sql  # noqa: E402
 
 SEED = 42
 
@@ -311,26 +311,31 @@ idx AS (SELECT label, CAST(row_number() OVER (ORDER BY c DESC, label) - 1 AS DOU
 SELECT u.userId, coalesce(i.ix, CAST((SELECT count(*) FROM lab) AS DOUBLE)) AS userIndex
 FROM (SELECT DISTINCT userId FROM test) u LEFT JOIN idx i ON CAST(u.userId AS VARCHAR) = i.label""")
 
-_NEG = f"""
-WITH perm AS (
-  SELECT movieId, row_number() OVER (ORDER BY h, movieId) - 1 AS prank, count(*) OVER () AS I
-  FROM (SELECT DISTINCT movieId, {lehmer_mix_sql(SEED, 'movieId')} AS h FROM movies) p),
-nI AS (SELECT max(I) AS I FROM perm),
-husers AS (SELECT DISTINCT userId FROM hseq),
-rated AS (SELECT DISTINCT userId, movieId FROM hseq WHERE movieId IN (SELECT movieId FROM perm)),
-rc AS (SELECT userId, count(*) AS r FROM rated GROUP BY userId),
-plan AS (
-  SELECT h.userId, least(100 + coalesce(rc.r, 0), (SELECT I FROM nI)) AS len,
-         {lehmer_mix_sql(SEED + 1, 'h.userId')} % (SELECT I FROM nI) AS start
-  FROM husers h LEFT JOIN rc ON h.userId = rc.userId),
-walk AS (SELECT userId, start, unnest(range(0, len)) AS t FROM plan),
-cand AS (
-  SELECT w.userId, p.movieId, w.t FROM walk w JOIN perm p ON p.prank = (w.start + w.t) % (SELECT I FROM nI)
-  WHERE NOT EXISTS (SELECT 1 FROM rated r WHERE r.userId = w.userId AND r.movieId = p.movieId)),
-neg AS (
+def sample_sql(name: str, need: str, rated: str, seed: int) -> str:
+    """CTEs that draw from ``need`` (userId, n) catalogue items not in
+    ``rated`` (userId, movieId); the last one is ``name`` (userId, movieId, draw)."""
+    return f"""
+{name}_rated AS (SELECT DISTINCT userId, movieId FROM {rated} WHERE movieId IN (SELECT movieId FROM imap)),
+{name}_plan AS (
+  SELECT d.userId, d.n, coalesce(r.c, 0) AS r, (SELECT count(*) FROM imap) AS I
+  FROM {need} d LEFT JOIN (SELECT userId, count(*) AS c FROM {name}_rated GROUP BY userId) r ON d.userId = r.userId),
+{name}_draws AS (
+  SELECT userId, n, I, unnest(range(0, 4 * n + 64)) AS t FROM {name}_plan WHERE 2 * (n + r) < I),
+{name}_cand AS (
+  SELECT d.userId, d.n, i.movieId, min(d.t) AS o
+  FROM {name}_draws d JOIN imap i ON i.idx = {hash52_sql(seed, 'draw', 'd.userId', 'd.t')} % d.I GROUP BY ALL
+  UNION ALL
+  SELECT p.userId, p.n, i.movieId, {hash52_sql(seed, 'item', 'p.userId', 'i.movieId')} AS o
+  FROM {name}_plan p, imap i WHERE 2 * (p.n + p.r) >= p.I),
+{name} AS (
   SELECT userId, movieId, draw FROM (
-    SELECT userId, movieId, row_number() OVER (PARTITION BY userId ORDER BY t) - 1 AS draw FROM cand) q
-  WHERE draw < 100)
+    SELECT c.*, row_number() OVER (PARTITION BY userId ORDER BY o, movieId) - 1 AS draw FROM {name}_cand c
+    WHERE NOT EXISTS (SELECT 1 FROM {name}_rated r WHERE r.userId = c.userId AND r.movieId = c.movieId)) q
+  WHERE draw < n)"""
+
+
+_NEG = f"""
+WITH husers AS (SELECT DISTINCT userId, 100 AS n FROM hseq),{sample_sql('neg', 'husers', 'hseq', SEED)}
 """
 
 seq_oracle("negatives", _NEG + "SELECT userId, movieId, draw FROM neg")
@@ -355,43 +360,66 @@ SELECT round(avg(dcg / 4.543559338088346), 6) AS ndcg_at_10,
 FROM per""")
 
 seq_oracle("serving_sequences", """
-WITH known AS (
-  SELECT r.request_id, r.pos, i.idx + 1 AS tok,
+WITH z AS (SELECT string_agg('0', ',') AS zero FROM vocab),
+known AS (
+  SELECT r.request_id, r.pos, i.idx + 1 AS tok, g.genre_vec AS gv,
          row_number() OVER (PARTITION BY r.request_id ORDER BY r.pos DESC) AS back
-  FROM reqs r JOIN imap i ON r.movieId = i.movieId),
-w AS (SELECT request_id, list(tok ORDER BY pos) AS toks FROM known WHERE back <= 79 GROUP BY request_id),
+  FROM reqs r JOIN imap i ON r.movieId = i.movieId JOIN gvec g ON r.movieId = g.movieId),
+w AS (SELECT request_id, list(tok ORDER BY pos) AS toks, list(gv ORDER BY pos) AS gvs
+      FROM known WHERE back <= 79 GROUP BY request_id),
 allr AS (SELECT DISTINCT request_id FROM reqs),
 full_ AS (
   SELECT a.request_id,
-         list_append(coalesce(w.toks, []), CAST((SELECT count(*) FROM imap) + 1 AS INT)) AS t
+         list_append(coalesce(w.toks, []), CAST((SELECT count(*) FROM imap) + 1 AS INT)) AS t,
+         list_append(coalesce(w.gvs, []), (SELECT zero FROM z)) AS g
   FROM allr a LEFT JOIN w ON a.request_id = w.request_id)
 SELECT request_id,
-       repeat('0,', CAST(greatest(80 - len(t), 0) AS BIGINT)) || array_to_string(t, ',') AS tokens
+       repeat('0,', CAST(greatest(80 - len(t), 0) AS BIGINT)) || array_to_string(t, ',') AS tokens,
+       repeat((SELECT zero FROM z) || ';', CAST(greatest(80 - len(g), 0) AS BIGINT)) || array_to_string(g, ';') AS genre_seq
 FROM full_""")
 
-seq_oracle("transitions", "SELECT prev_item, next_item, transitions FROM trans")
-seq_oracle("next_items", """
-WITH last AS (SELECT request_id, movieId AS prev_item FROM reqs WHERE pos = n),
-cand AS (
-  SELECT l.request_id, t.next_item AS movieId, t.transitions AS score
-  FROM last l JOIN trans t ON l.prev_item = t.prev_item
-  WHERE NOT EXISTS (SELECT 1 FROM reqs r WHERE r.request_id = l.request_id AND r.movieId = t.next_item))
-SELECT request_id, rank, movieId, score FROM (
-  SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY score DESC, movieId) AS rank FROM cand) q
-WHERE rank <= 10""")
-
+_MASK_H = hash52_sql(SEED, "mask", "s.userId", "s.pos")
+seq_oracle("masked_sequences", f"""
+WITH h AS (
+  SELECT s.userId, s.pos, s.movieId, s.n, i.idx + 1 AS tok, {_MASK_H} / {SCALE} AS u
+  FROM aseq s LEFT JOIN imap i ON s.movieId = i.movieId WHERE s.pos < s.n AND s.pos >= s.n - 80),
+m AS (
+  SELECT *, CASE WHEN u >= 0.15 THEN 'keep' WHEN u / 0.15 < 0.8 THEN 'mask'
+                 WHEN u / 0.15 < 0.9 THEN 'random' ELSE 'keep' END AS action FROM h),
+need AS (SELECT userId, count(*) AS n FROM m WHERE action = 'random' GROUP BY userId),{sample_sql('rnd', 'need', 'aseq', SEED + 7)},
+slot AS (
+  SELECT userId, pos, row_number() OVER (PARTITION BY userId ORDER BY pos) - 1 AS draw FROM m WHERE action = 'random'),
+d AS (
+  SELECT m.*, r.movieId AS rnd, i.idx + 1 AS rnd_tok
+  FROM m LEFT JOIN slot s ON m.userId = s.userId AND m.pos = s.pos
+  LEFT JOIN rnd r ON r.userId = s.userId AND r.draw = s.draw LEFT JOIN imap i ON i.movieId = r.movieId),
+z AS (SELECT string_agg('0', ',') AS zero, string_agg('1', ',') AS ones FROM vocab),
+e AS (
+  SELECT d.userId, d.pos, d.tok AS label, CASE WHEN d.u < 0.15 THEN 1 ELSE 0 END AS chosen,
+         CASE d.action WHEN 'mask' THEN (SELECT count(*) FROM imap) + 1 WHEN 'random' THEN d.rnd_tok ELSE d.tok END AS token,
+         CASE WHEN d.action = 'mask' THEN z.ones ELSE coalesce(g.genre_vec, z.zero) END AS grow
+  FROM d CROSS JOIN z LEFT JOIN gvec g ON g.movieId = CASE WHEN d.action = 'random' THEN d.rnd ELSE d.movieId END)
+SELECT userId,
+       repeat('0,', CAST(80 - count(*) AS BIGINT)) || string_agg(CAST(token AS VARCHAR), ',' ORDER BY pos) AS tokens,
+       repeat('0,', CAST(80 - count(*) AS BIGINT)) || string_agg(CAST(label AS VARCHAR), ',' ORDER BY pos) AS labels,
+       repeat('0,', CAST(80 - count(*) AS BIGINT)) || string_agg(CAST(chosen AS VARCHAR), ',' ORDER BY pos) AS is_masked,
+       repeat((SELECT zero FROM z) || ';', CAST(80 - count(*) AS BIGINT)) || string_agg(grow, ';' ORDER BY pos) AS genre_seq
+FROM e GROUP BY userId""")
 
+seq_oracle("transitions", "SELECT prev_item, next_item, transitions FROM trans")
 # ------------------------------------------------- requests, enrichment
 
 _REQ = """,
 cold AS (SELECT DISTINCT userId FROM ratings WHERE userId NOT IN (SELECT userId FROM active)),
 creq AS (
-  SELECT t.userId AS request_id, t.userId AS userId, t.movieId FROM test t WHERE t.userId IN (SELECT userId FROM cold)
+  SELECT t.userId AS request_id, t.userId AS userId, t.movieId FROM test t
   UNION ALL
-  SELECT -t.userId AS request_id, CAST(NULL AS INT) AS userId, t.movieId FROM test t
-  WHERE t.userId IN (SELECT userId FROM cold)),
+  SELECT -t.userId AS request_id, CAST(NULL AS INT) AS userId, t.movieId FROM test t),
 anon AS (SELECT request_id, movieId FROM creq WHERE userId IS NULL),
-ar AS (SELECT DISTINCT request_id, movieId FROM anon),
+coldanon AS (SELECT request_id, movieId FROM anon WHERE -request_id IN (SELECT userId FROM cold)),
+ar AS (
+  SELECT DISTINCT request_id, movieId FROM creq c
+  WHERE c.userId IS NULL OR NOT EXISTS (SELECT 1 FROM train t WHERE t.userId = c.userId)),
 pp AS (SELECT DISTINCT userId, movieId FROM train),
 rs AS (SELECT request_id, count(*) AS req_size FROM ar GROUP BY request_id),
 ps AS (SELECT userId, count(*) AS user_size FROM pp GROUP BY userId),
@@ -404,13 +432,22 @@ jsc AS (
 nb AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY jaccard DESC, userId) AS rank
                  FROM jsc WHERE jaccard > 0) q WHERE rank <= 1),
+given AS (SELECT DISTINCT request_id, movieId FROM reqs),
+nsc AS (
+  SELECT g.request_id, t.next_item AS movieId, CAST(sum(t.transitions) AS BIGINT) AS score
+  FROM given g JOIN trans t ON g.movieId = t.prev_item
+  WHERE NOT EXISTS (SELECT 1 FROM given x WHERE x.request_id = g.request_id AND x.movieId = t.next_item)
+  GROUP BY 1, 2),
+pop AS (
+  SELECT i.movieId, coalesce(a.c, 0) AS c
+  FROM imap i LEFT JOIN (SELECT movieId, count(*) AS c FROM active GROUP BY movieId) a ON i.movieId = a.movieId),
 nxt AS (
   SELECT request_id, rank, movieId, score FROM (
-    SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY score DESC, movieId) AS rank FROM (
-      SELECT l.request_id, t.next_item AS movieId, t.transitions AS score
-      FROM (SELECT request_id, movieId AS prev_item FROM reqs WHERE pos = n) l
-      JOIN trans t ON l.prev_item = t.prev_item
-      WHERE NOT EXISTS (SELECT 1 FROM reqs r WHERE r.request_id = l.request_id AND r.movieId = t.next_item)) c) q
+    SELECT r.request_id, p.movieId, coalesce(s.score, 0) AS score,
+           row_number() OVER (PARTITION BY r.request_id ORDER BY coalesce(s.score, 0) DESC, p.c DESC, p.movieId) AS rank
+    FROM (SELECT DISTINCT request_id FROM reqs) r CROSS JOIN pop p
+    LEFT JOIN nsc s ON s.request_id = r.request_id AND s.movieId = p.movieId
+    WHERE NOT EXISTS (SELECT 1 FROM given x WHERE x.request_id = r.request_id AND x.movieId = p.movieId)) q
   WHERE rank <= 10),
 lk AS (SELECT movieId, min(tmdbId) AS tmdbId FROM links GROUP BY movieId),
 prof AS (
@@ -432,6 +469,8 @@ def req_oracle(name: str, body: str) -> None:
         oracle(name, head + "\n" + body)
 
 
+req_oracle("next_items", "SELECT request_id, rank, movieId, score FROM nxt")
+
 req_oracle("jaccard_neighbours", """
 SELECT request_id, userId AS neighbour, inter, req_size, user_size, round(jaccard, 6) AS jaccard, rank FROM nb""")
 
@@ -452,7 +491,7 @@ req_oracle("cold_start_candidates", """
 WITH items AS (SELECT DISTINCT movieId FROM (SELECT movieId FROM train UNION ALL SELECT movieId FROM test) u)
 SELECT nb.request_id, nb.userId AS neighbour, count(*) AS n_candidates
 FROM nb, items i
-WHERE NOT EXISTS (SELECT 1 FROM anon a WHERE a.request_id = nb.request_id AND a.movieId = i.movieId)
+WHERE nb.request_id IN (SELECT request_id FROM coldanon) AND NOT EXISTS (SELECT 1 FROM anon a WHERE a.request_id = nb.request_id AND a.movieId = i.movieId)
 GROUP BY 1, 2""")
 
 req_oracle("user_genre_profile", "SELECT userId, genre, round(weight, 6) AS weight FROM prof")
@@ -463,8 +502,7 @@ WITH rp AS (
     SELECT mean.userId, genre, m, sqrt(sum(m * m) OVER (PARTITION BY mean.userId)) AS nrm FROM (
       SELECT userId, genre, avg(rating) AS m FROM (
         SELECT t.userId, t.rating, unnest(string_split(mv.genres, '|')) AS genre
-        FROM test t JOIN movies mv ON t.movieId = mv.movieId
-        WHERE t.userId IN (SELECT userId FROM cold)) g GROUP BY 1, 2) mean) z
+        FROM test t JOIN movies mv ON t.movieId = mv.movieId) g GROUP BY 1, 2) mean) z
   WHERE m / NULLIF(nrm, 0) IS NOT NULL),
 dots AS (
   SELECT a.userId AS request_id, b.userId AS neighbour,
@@ -478,7 +516,7 @@ WHERE rank <= 10""")
 req_oracle("hybrid", """
 WITH a AS (SELECT userId, movieId, round(score / 5.0, 9) AS s FROM scored_test),
 b AS (SELECT request_id AS userId, movieId,
-             round(score / max(score) OVER (PARTITION BY request_id), 9) AS s FROM nxt),
+             round(score / max(score) OVER (PARTITION BY request_id), 9) AS s FROM nsc),
 j AS (
   SELECT coalesce(a.userId, b.userId) AS userId, coalesce(a.movieId, b.movieId) AS movieId,
          0.5 * coalesce(a.s, 0.0) + 0.5 * coalesce(b.s, 0.0) AS score
@@ -525,6 +563,62 @@ SELECT request_id, CASE WHEN count(*) < 2 THEN 'too_few' ELSE 'ok' END AS status
 FROM b GROUP BY request_id""")
 
 
+req_oracle("recommend_requests_mean", """
+WITH ex AS (
+  SELECT request_id, movieId FROM creq
+  UNION SELECT c.request_id, t.movieId
+  FROM (SELECT DISTINCT request_id, userId FROM creq WHERE userId IS NOT NULL) c JOIN train t ON c.userId = t.userId
+  UNION SELECT nb.request_id, t.movieId FROM nb JOIN train t ON nb.userId = t.userId)
+SELECT request_id, rank, movieId, title, score FROM (
+  SELECT r.request_id, i.movieId, m.title, i.score,
+         row_number() OVER (PARTITION BY r.request_id ORDER BY i.score DESC, i.movieId) AS rank
+  FROM (SELECT DISTINCT request_id FROM creq) r CROSS JOIN item_score i JOIN movies m ON i.movieId = m.movieId
+  WHERE NOT EXISTS (SELECT 1 FROM ex WHERE ex.request_id = r.request_id AND ex.movieId = i.movieId)) q
+WHERE rank <= 10""")
+
+
+# ------------------------------------------------------------ models
+
+oracle("features", """
+WITH u AS (
+  SELECT userId, CAST(row_number() OVER (ORDER BY count(*) DESC, CAST(userId AS VARCHAR)) - 1 AS DOUBLE) AS ix
+  FROM train GROUP BY userId),
+m AS (
+  SELECT movieId, CAST(row_number() OVER (ORDER BY count(*) DESC, CAST(movieId AS VARCHAR)) - 1 AS DOUBLE) AS ix
+  FROM train GROUP BY movieId),
+v AS (
+  SELECT DISTINCT unnest(string_split(lower(mv.genres), '|')) AS token
+  FROM train t JOIN movies mv ON t.movieId = mv.movieId)
+SELECT t.userId, t.movieId, CASE WHEN t.rating >= 4 THEN 1 ELSE 0 END AS label, u.ix AS userIndex, m.ix AS movieIndex,
+       coalesce(TRY_CAST(mv.year AS INT), 0) AS year,
+       CAST((SELECT count(*) FROM v WHERE token <> '') + 4 AS INT) AS n_features
+FROM train t JOIN u ON t.userId = u.userId JOIN m ON t.movieId = m.movieId LEFT JOIN movies mv ON t.movieId = mv.movieId""")
+
+oracle("model_roundtrip", "SELECT count(*) AS rows, CAST(0.0 AS DOUBLE) AS max_abs_diff FROM test")
+
+_UNSEEN = """
+WITH cat AS (SELECT DISTINCT movieId FROM train),
+usr AS (SELECT DISTINCT userId FROM test WHERE userId IN (SELECT userId FROM train)),
+hist AS (SELECT DISTINCT userId, movieId FROM seen WHERE movieId IN (SELECT movieId FROM cat)),
+want AS (
+  SELECT usr.userId, least(10, (SELECT count(*) FROM cat) - coalesce(h.c, 0)) AS n
+  FROM usr LEFT JOIN (SELECT userId, count(*) AS c FROM hist GROUP BY userId) h ON usr.userId = h.userId)
+"""
+oracle("als_topk_checks", _UNSEEN + """
+SELECT count(*) FILTER (WHERE n > 0) AS users, CAST(sum(n) AS BIGINT) AS rows, CAST(0 AS BIGINT) AS seen_pairs,
+       CAST(0 AS BIGINT) AS repeated_pairs, CAST(0 AS BIGINT) AS wrong_ranks, CAST(0 AS BIGINT) AS wrong_order
+FROM want""")
+
+oracle("gbt_topk_checks", """
+WITH cand AS (
+  SELECT s.userId, s.movieId FROM test s
+  WHERE NOT EXISTS (SELECT 1 FROM seen x WHERE x.userId = s.userId AND x.movieId = s.movieId)),
+want AS (SELECT userId, least(count(*), 10) AS n FROM cand GROUP BY userId)
+SELECT count(*) AS users, CAST(sum(n) AS BIGINT) AS rows, CAST(0 AS BIGINT) AS seen_pairs,
+       CAST(0 AS BIGINT) AS repeated_pairs, CAST(0 AS BIGINT) AS wrong_ranks, CAST(0 AS BIGINT) AS wrong_order
+FROM want""")
+
+
 # ------------------------------------------------------------ file round trips
 
 oracle("csv_roundtrip", "SELECT movieId, title, genres, year FROM movies")
@@ -577,7 +671,7 @@ INT_COLUMNS = {
     "encode_ids": ["item_idx", "user_idx"], "enrich_recommendations": ["rank"],
     "genre_vocab": ["term_index"], "global_index": ["index"], "hybrid": ["rank"],
     "id_map": ["idx"], "id_map_roundtrip": ["idx"], "item_sets": ["n_items"],
-    "jaccard_neighbours": ["rank"], "leave_one_out": ["n_train"], "map_external": ["rank"],
+    "jaccard_neighbours": ["rank"], "recommend_requests_mean": ["rank"], "leave_one_out": ["n_train"], "map_external": ["rank"],
     "negatives": ["draw"], "next_items": ["rank"], "titles_for_ids": ["rank"], "top_k": ["rank"],
     "top_n_per_user": ["index"], "topk_with_title": ["rank"], "user_sequences": ["pos"],
 }

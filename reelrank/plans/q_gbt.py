@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,20 +14,13 @@ from reelrank.operators import prep as P
 from reelrank.operators import rank as R
 from reelrank.plans import gbt as G
 from reelrank.plans.frames import Frames
-from reelrank.plans.q_requests import anonymous, cold_requests, exclusions, neighbours
+from reelrank.plans.q_requests import anonymous, cold_requests, exclusions, neighbours, request_batch, unknown
 from reelrank.plans.registry import K, query
 from reelrank.session import scratch_path
 
-# Trials run by the registered tuning query; the library default is N_TRIALS.
-TUNE_TRIALS = 2
-
 _CACHE: dict[tuple, object] = {}
 
 
-def _app(f: Frames) -> str:
-    return f.spark.sparkContext.applicationId
-
-
 def _cached(key, build):
     if key not in _CACHE:
         _CACHE[key] = build()
@@ -33,16 +28,20 @@ def _cached(key, build):
 
 
 def feature_model(f: Frames) -> G.FeatureModel:
-    return _cached((_app(f), f.sf_dir, "features"), lambda: G.fit_features(f.temp("train")))
+    return _cached((*f.key, "features"), lambda: G.fit_features(f.temp("train")))
 
 
-def final_model(f: Frames):
-    """Refit on train + validation with the default configuration."""
+def tuned(f: Frames):
+    """All trials, and the best one refitted on train + validation."""
     def build():
         fm = feature_model(f)
-        tv = fm.transform(f.temp("train").unionByName(f.temp("validation")))
-        return G.fit_gbt(tv, **G.DEFAULT_PARAMS)
-    return _cached((_app(f), f.sf_dir, "gbt"), build)
+        model, trials = G.tune_and_refit(fm.transform(f.temp("train")), fm.transform(f.temp("validation")), k=K)
+        return model, trials.persist()
+    return _cached((*f.key, "gbt"), build)
+
+
+def final_model(f: Frames):
+    return tuned(f)[0]
 
 
 def scored_test(f: Frames) -> DataFrame:
@@ -69,11 +68,8 @@ def gbt_scored(spark, sf_dir):
 @query("gbt_tune")
 def gbt_tune(spark, sf_dir):
     """Seeded random search over depth 3-10, eta 0.01-0.3, rounds
-    50-100; objective = mean precision@10 on validation."""
-    f = Frames(spark, sf_dir)
-    fm = feature_model(f)
-    return G.tune(fm.transform(f.temp("train")), fm.transform(f.temp("validation")),
-                  trials=TUNE_TRIALS, k=K)
+    50-100, 10 trials; objective = mean precision@10 on validation."""
+    return tuned(Frames(spark, sf_dir))[1]
 
 
 def _gbt_topk(f: Frames) -> DataFrame:
@@ -93,6 +89,13 @@ def gbt_recommendations(spark, sf_dir):
                       F.col("score").alias("predicted_rating"))
 
 
+@query("gbt_topk_checks")
+def gbt_topk_checks(spark, sf_dir):
+    """Properties of the boosted-tree recommendations: up to k rows a user,
+    nothing seen, ranks in order."""
+    return M.ranking_checks(gbt_recommendations(spark, sf_dir), Frames(spark, sf_dir).history())
+
+
 @query("gbt_label_metrics")
 def gbt_label_metrics(spark, sf_dir):
     """Precision / recall / nDCG@10 of the boosted-tree ranking."""
@@ -122,12 +125,12 @@ def cold_start_topk(spark, sf_dir):
 @query("recommend_requests")
 def recommend_requests(spark, sf_dir):
     """The request recommender as one distributed job: exclusions
-    by the known / anonymous rule, every other training item scored for the
-    request's (own or borrowed) user (once per tree cell of the user index),
-    top 10 with titles."""
+    by the known / unknown user rule, every other training item scored for
+    the request's own user (an anonymous one's neighbour; without either, an
+    unseen user) once per tree cell of the user index, top 10 with titles."""
     f = Frames(spark, sf_dir)
-    reqs = cold_requests(f)
-    found = neighbours(f, anonymous(reqs)).checkpoint(eager=True)   # one row per request
+    reqs = request_batch(f)
+    found = neighbours(f, unknown(f, reqs)).checkpoint(eager=True)  # one row per request
     excl = exclusions(f, reqs, found)
     nb = found.select("request_id", F.col("neighbour").alias("_nb"))
     who = (reqs.select("request_id", "userId").distinct().join(nb, "request_id", "left")
@@ -139,15 +142,14 @@ def recommend_requests(spark, sf_dir):
 
 @query("attribution_summary")
 def attribution_summary(spark, sf_dir):
-    """Tree importances and mean |score change| when a feature
-    is set to its mean, over every scored test row; ranked."""
+    """Tree importances and permutation importance (mean |score
+    change| when a feature takes another row's value) over every scored test
+    row; ranked."""
     f = Frames(spark, sf_dir)
     fm = feature_model(f)
     model = final_model(f)
     names = fm.feature_names()
-    test_f = fm.transform(f.temp("test"))
-    effects = G.occlusion_effects(model, test_f, G.feature_means(test_f, len(names)),
-                                  ["userId", "movieId"])
+    effects = G.permutation_effects(model, fm.transform(f.temp("test")), len(names), ["userId", "movieId"])
     imp = model.featureImportances.toArray().tolist()
     table = spark.createDataFrame([(i, n, float(imp[i])) for i, n in enumerate(names)],
                                   "fidx int, feature string, importance double")
@@ -158,22 +160,22 @@ def attribution_summary(spark, sf_dir):
 
 @query("explain_row")
 def explain_row(spark, sf_dir):
-    """The first recommendation of the smallest recommended user,
-    explained by the 10 largest |score changes| under feature occlusion."""
+    """Every user's first recommendation, explained by the 10
+    largest |score changes| when a feature is set to its mean."""
     f = Frames(spark, sf_dir)
     fm = feature_model(f)
     model = final_model(f)
     names = fm.feature_names()
-    top = _gbt_topk(f)
-    target = top.filter(F.col("rank") == 1).orderBy("userId").limit(1).select("userId", "movieId")
+    target = _gbt_topk(f).filter(F.col("rank") == 1).select("userId", "movieId")
     test_f = fm.transform(f.temp("test"))
-    row = test_f.join(target, ["userId", "movieId"])
-    effects = G.occlusion_effects(model, row, G.feature_means(test_f, len(names)), ["userId", "movieId"])
+    rows = test_f.join(target, ["userId", "movieId"])
+    effects = G.occlusion_effects(model, rows, G.feature_means(test_f, len(names)), ["userId", "movieId"])
     name_col = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("fidx") + 1)
     value = F.element_at(vector_to_array("features"), F.col("fidx") + 1)
-    detail = effects.join(row.select("userId", "movieId", "features"), ["userId", "movieId"])
-    out = detail.select("userId", "movieId", name_col.alias("feature"), value.alias("value"), "effect")
-    return R.top_abs(out, 10, "effect", "feature")
+    detail = effects.join(rows.select("userId", "movieId", "features"), ["userId", "movieId"])
+    out = detail.select("userId", "movieId", name_col.alias("feature"), value.alias("value"), "effect",
+                        F.abs("effect").alias("size"))
+    return R.top_k(out, 10, "userId", "size", "feature").drop("size")
 
 
 @query("model_roundtrip")
@@ -183,7 +185,7 @@ def model_roundtrip(spark, sf_dir):
     f = Frames(spark, sf_dir)
     fm = feature_model(f)
     model = final_model(f)
-    path = scratch_path(spark, f"model-{abs(hash(sf_dir))}")
+    path = scratch_path(spark, f"model-{uuid.uuid4().hex}")
     fm.save(f"{path}/features")
     model.write().overwrite().save(f"{path}/trees")
     fm2 = G.FeatureModel.load(spark, f"{path}/features")

@@ -12,8 +12,9 @@ from reelrank.operators import prep as P
 from reelrank.operators import sequences as S
 from reelrank.operators import similarity as SIM
 from reelrank.operators.hybrid import hybrid as blend
+from reelrank.operators.rank import top_k_excluding
 from reelrank.plans.frames import Frames
-from reelrank.plans.q_sequences import _requests, active_train
+from reelrank.plans.q_sequences import _requests, active_train, next_recs
 from reelrank.plans.registry import K, csv_ints, query
 from reelrank.sources.tables import read_table
 
@@ -28,11 +29,10 @@ def cold_users(f: Frames) -> DataFrame:
     return users.join(active_train(f).select("userId").distinct(), "userId", "left_anti")
 
 
-def cold_requests(f: Frames) -> DataFrame:
-    """(request_id, userId, movieId): each cold user's test-split items as a
-    request, once logged in (request_id = userId) and once anonymous
-    (request_id = -userId, userId NULL)."""
-    hist = f.test.join(cold_users(f), "userId", "left_semi").select("userId", "movieId")
+def _requests_of(hist: DataFrame) -> DataFrame:
+    """(request_id, userId, movieId): each user's items as a request, once
+    logged in (request_id = userId) and once anonymous (request_id = -userId,
+    userId NULL)."""
     known = hist.select(F.col("userId").alias("request_id"), "userId", "movieId")
     anon = hist.select((-F.col("userId")).alias("request_id"),
                        F.lit(None).cast("int").alias("userId"), "movieId")
@@ -40,37 +40,53 @@ def cold_requests(f: Frames) -> DataFrame:
     return known.unionByName(anon).checkpoint(eager=True)
 
 
+def request_batch(f: Frames) -> DataFrame:
+    """Requests of every user of the test split."""
+    return _requests_of(f.test.select("userId", "movieId"))
+
+
+def cold_requests(f: Frames) -> DataFrame:
+    """Requests of the cold users of the test split."""
+    return _requests_of(f.test.join(cold_users(f), "userId", "left_semi").select("userId", "movieId"))
+
+
 def anonymous(reqs: DataFrame) -> DataFrame:
     return reqs.filter(F.col("userId").isNull())
 
 
+def unknown(f: Frames, reqs: DataFrame) -> DataFrame:
+    """Requests without a user of the training data: anonymous ones, and
+    those of a logged-in user with no training history."""
+    return reqs.join(f.train.select("userId").distinct(), "userId", "left_anti").select(*reqs.columns)
+
+
 def neighbours(f: Frames, reqs: DataFrame) -> DataFrame:
     return SIM.jaccard_neighbours(reqs.select("request_id", "movieId"),
                                   f.train.select("userId", "movieId"), k=1)
 
 
 def exclusions(f: Frames, reqs: DataFrame, nb: DataFrame | None = None) -> DataFrame:
-    """M19 exclusion rule per request: logged-in -> own training history +
-    given items; anonymous -> nearest neighbour's training items + given
-    items; anonymous without neighbour -> given items only. ``nb`` may pass
-    already computed neighbours (request_id, neighbour)."""
+    """M19 exclusion rule per request: user of the training data -> own
+    training history + given items; anyone else -> nearest neighbour's
+    training items + given items; without a neighbour -> given items only.
+    ``nb`` may pass already computed neighbours (request_id, neighbour)."""
     given = reqs.select("request_id", "movieId")
-    known_ids = reqs.filter(F.col("userId").isNotNull()).select("request_id", "userId").distinct()
-    known_ids = known_ids.join(f.train.select("userId").distinct(), "userId", "left_semi")
-    own = known_ids.join(f.train.select("userId", "movieId"), "userId").select("request_id", "movieId")
+    history = f.train.select("userId", "movieId")
+    own = (reqs.filter(F.col("userId").isNotNull()).select("request_id", "userId").distinct()
+           .join(history, "userId").select("request_id", "movieId"))
     if nb is None:
-        nb = neighbours(f, anonymous(reqs))
+        nb = neighbours(f, unknown(f, reqs))
     nb = nb.select("request_id", F.col("neighbour").alias("userId"))
-    borrowed = nb.join(f.train.select("userId", "movieId"), "userId").select("request_id", "movieId")
+    borrowed = nb.join(history, "userId").select("request_id", "movieId")
     return given.unionByName(own).unionByName(borrowed).distinct()
 
 
 @query("jaccard_neighbours")
 def jaccard_neighbours(spark, sf_dir):
-    """Nearest training user by Jaccard for each anonymous
-    cold-start request (similarity > 0 required)."""
+    """Nearest training user by Jaccard for each request
+    without a user of the training data (similarity > 0 required)."""
     f = Frames(spark, sf_dir)
-    out = neighbours(f, anonymous(cold_requests(f)))
+    out = neighbours(f, unknown(f, request_batch(f)))
     return out.withColumn("jaccard", round6("jaccard"))
 
 
@@ -78,7 +94,7 @@ def jaccard_neighbours(spark, sf_dir):
 def known_user_flag(spark, sf_dir):
     """Does the request's user exist in the training data?"""
     f = Frames(spark, sf_dir)
-    reqs = cold_requests(f).select("request_id", "userId").distinct()
+    reqs = request_batch(f).select("request_id", "userId").distinct()
     train_users = f.train.select("userId").distinct().withColumn("known", F.lit(True))
     return (reqs.join(train_users, "userId", "left")
                 .select("request_id", F.coalesce("known", F.lit(False)).alias("known")))
@@ -88,7 +104,19 @@ def known_user_flag(spark, sf_dir):
 def request_exclusions(spark, sf_dir):
     """The items excluded from each request's recommendations."""
     f = Frames(spark, sf_dir)
-    return exclusions(f, cold_requests(f))
+    return exclusions(f, request_batch(f))
+
+
+@query("recommend_requests_mean")
+def recommend_requests_mean(spark, sf_dir):
+    """M19 with the deterministic item score: exclusions by the known /
+    unknown user rule, top 10 of the other training items with titles."""
+    f = Frames(spark, sf_dir)
+    reqs = request_batch(f)
+    lists = f.item_score.withColumn("all", F.lit(0)).select("all", "movieId", "score")
+    who = reqs.select("request_id").distinct().withColumn("all", F.lit(0))
+    top = top_k_excluding(lists, who, exclusions(f, reqs), K, "all")
+    return top.join(f.movies.select("movieId", "title"), "movieId").select("request_id", "rank", "movieId", "title", "score")
 
 
 @query("cold_start_candidates")
@@ -118,11 +146,10 @@ def user_genre_profile(spark, sf_dir):
 
 @query("cosine_neighbours")
 def cosine_neighbours(spark, sf_dir):
-    """Top-10 training users by cosine of genre profiles for each cold
+    """Top-10 training users by cosine of genre profiles for each test
     user's test-split profile (the user's own profile excluded)."""
     f = Frames(spark, sf_dir)
-    cold_test = f.test.join(cold_users(f), "userId", "left_semi")
-    req_prof = (SIM.genre_profile(cold_test, f.movies)
+    req_prof = (SIM.genre_profile(f.test, f.movies)
                    .withColumn("request_id", F.col("userId"))
                    .withColumnRenamed("userId", "req_user"))
     user_prof = SIM.genre_profile(f.train, f.movies)
@@ -132,18 +159,13 @@ def cosine_neighbours(spark, sf_dir):
     return out.withColumn("cosine", round6("cosine"))
 
 
-def _next_recs(f: Frames) -> DataFrame:
-    trans = S.transitions(S.user_sequences(active_train(f)))
-    return S.next_items(_requests(f), trans, K)
-
-
 @query("hybrid")
 def hybrid(spark, sf_dir):
-    """0.5 x (item mean / 5) on test pairs + 0.5 x (transition count /
-    the request's best count) on next-item picks; missing side = 0."""
+    """0.5 x (item mean / 5) on test pairs + 0.5 x (transition score /
+    the request's best score) on every item with one; missing side = 0."""
     f = Frames(spark, sf_dir)
     a = f.scored_test().select("userId", "movieId", (F.col("score") / 5.0).alias("score"))
-    nxt = _next_recs(f)
+    nxt = S.next_scores(_requests(f), S.transitions(S.user_sequences(active_train(f))))
     best = nxt.groupBy("request_id").agg(F.max("score").alias("_best"))
     b = (nxt.join(best, "request_id")
             .select(F.col("request_id").alias("userId"), "movieId",
@@ -159,14 +181,14 @@ def hybrid(spark, sf_dir):
 def titles_for_ids(spark, sf_dir):
     """S3: titles of next-item recommendations, rank kept."""
     f = Frames(spark, sf_dir)
-    return E.titles_for_ids(_next_recs(f), f.movies).select("request_id", "rank", "movieId", "title")
+    return E.titles_for_ids(next_recs(f), f.movies).select("request_id", "rank", "movieId", "title")
 
 
 @query("map_external")
 def map_external(spark, sf_dir):
     """Recommendation ids -> external ids; unmatched dropped, rank kept."""
     f = Frames(spark, sf_dir)
-    return E.map_external(_next_recs(f), f.links).select("request_id", "rank", "movieId", "tmdbId")
+    return E.map_external(next_recs(f), f.links).select("request_id", "rank", "movieId", "tmdbId")
 
 
 @query("map_internal")
@@ -181,15 +203,15 @@ def map_internal(spark, sf_dir):
 def enrich_recommendations(spark, sf_dir):
     """Next-item recommendations with detail title, poster URL, year."""
     f = Frames(spark, sf_dir)
-    out = E.enrich_recommendations(_next_recs(f), f.links, f.details)
+    out = E.enrich_recommendations(next_recs(f), f.links, f.details)
     return out.select("request_id", "rank", "movieId", "tmdbId", "title_ko", "poster_url", "release_year")
 
 
 @query("enrich_input_items")
 def enrich_input_items(spark, sf_dir):
-    """Cold requests' input items with titles or placeholders."""
+    """The requests' input items with titles or placeholders."""
     f = Frames(spark, sf_dir)
-    hist = cold_requests(f).select("request_id", "movieId")
+    hist = request_batch(f).select("request_id", "movieId")
     out = E.enrich_input_items(hist, f.links, f.details)
     return out.select("request_id", "movieId", "tmdbId", "display_title", "poster_url")
 
@@ -218,10 +240,10 @@ def parse_histories(spark, sf_dir):
 @query("unseen_candidates")
 def unseen_candidates_q(spark, sf_dir):
     """Every train+test item not in the anonymous request's history,
-    for each anonymous cold-start request."""
+    for each anonymous request."""
     from reelrank.operators.candidates import all_items, unseen_candidates
     f = Frames(spark, sf_dir)
-    reqs = anonymous(cold_requests(f))
+    reqs = anonymous(request_batch(f))
     return unseen_candidates(reqs.select("request_id").distinct(), all_items(f.train, f.test),
                              reqs.select("request_id", "movieId"))
 
@@ -248,28 +270,29 @@ def encode_history(spark, sf_dir):
 @query("hybrid_als_profile")
 def hybrid_als_profile(spark, sf_dir):
     """M28-M30 as designed: for each cold user, blend (0.5 / 0.5) the ALS
-    top-50 (rating / 5) with a user-based score -- the cosine-weighted share
+    score (rating / 5) with a user-based score -- the cosine-weighted share
     of the 10 nearest profiles whose users rated the item >= 4 -- and keep
-    the top 10 items the user has not rated."""
+    the top 10 items the user has not rated. An item the profiles don't know
+    has its ALS half alone, so of these only the 10 best can count; items the
+    profiles know are all scored by ALS."""
     from reelrank.plans import als as A
     f = Frames(spark, sf_dir)
     users = cold_users(f)
     model = A.fit_als(f.train, **A.DEFAULTS, cache_key=f"{sf_dir}:train")
-    a = (A.recommend_subset(model, users, A.FETCH)
-          .select("userId", "movieId", (F.col("rating") / 5.0).alias("score")))
     req_prof = (SIM.genre_profile(f.test.join(users, "userId", "left_semi"), f.movies)
                    .withColumn("request_id", F.col("userId")).withColumnRenamed("userId", "req_user"))
     nb = SIM.cosine_neighbours(req_prof, SIM.genre_profile(f.train, f.movies), K,
                                exclude_self="req_user")
     liked = P.positives(f.train).select(F.col("userId").alias("neighbour"), "movieId")
     total = nb.groupBy("request_id").agg(F.sum("cosine").alias("_tot"))
+    seen = f.ratings.select("userId", "movieId").join(users, "userId", "left_semi")
     b = (nb.join(liked, "neighbour").groupBy("request_id", "movieId")
            .agg(F.sum("cosine").alias("_s")).join(total, "request_id")
            .select(F.col("request_id").alias("userId"), "movieId",
-                   (F.col("_s") / F.col("_tot")).alias("score")))
-    # rated items leave both score sets before the blend, so the blend's
-    # own top-k (a partial WindowGroupLimit) already gives unseen items
-    seen = f.ratings.select("userId", "movieId").join(users, "userId", "left_semi")
-    a = a.join(seen, ["userId", "movieId"], "left_anti")
-    b = b.join(seen, ["userId", "movieId"], "left_anti")
+                   (F.col("_s") / F.col("_tot")).alias("score"))
+           .join(seen, ["userId", "movieId"], "left_anti").checkpoint(eager=True))
+    known = A.predict(model, b.select("userId", "movieId")).withColumnRenamed("prediction", "rating")
+    other = A.recommend_unseen(model, users, seen.unionByName(b.select("userId", "movieId")), K)
+    a = (known.select("userId", "movieId", "rating").unionByName(other.select("userId", "movieId", "rating"))
+              .select("userId", "movieId", (F.col("rating") / 5.0).alias("score")))
     return blend(a, b, ALPHA, K).select("userId", "rank", "movieId", "score")

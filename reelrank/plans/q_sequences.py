@@ -34,6 +34,11 @@ def active_test(f: Frames) -> DataFrame:
     return S.min_activity(P.positives(f.ratings.select(*cols)), S.MIN_TEST_POSITIVES)
 
 
+def genre_rows(col: str):
+    """A list of genre vectors as text: values by commas, vectors by semicolons."""
+    return F.array_join(F.transform(col, lambda r: F.array_join(r, ",")), ";")
+
+
 def item_tokens(f: Frames) -> DataFrame:
     """movieId -> token (1-based catalogue index)."""
     return S.id_map(f.movies, "movieId").select(F.col("id").alias("movieId"),
@@ -136,8 +141,7 @@ def genre_sequences(spark, sf_dir):
     vocab = S.genre_vocabulary(f.movies)
     gv = S.genre_table(f.movies, vocab)
     out = S.genre_sequences(S.user_sequences(active_train(f)), gv, len(vocab), S.MAX_LEN)
-    rows = F.transform("genre_seq", lambda r: F.array_join(r, ","))
-    return out.select("userId", F.array_join(rows, ";").alias("genre_seq"))
+    return out.select("userId", genre_rows("genre_seq").alias("genre_seq"))
 
 
 @query("genre_skew")
@@ -207,7 +211,8 @@ def masked_sequences(spark, sf_dir):
     out = S.masked_sequences(S.user_sequences(active_train(f)), f.movies, gv, len(vocab),
                              S.MAX_LEN, S.MASK_PROB, SEED)
     return out.select("userId", csv_ints("tokens").alias("tokens"),
-                      csv_ints("labels").alias("labels"), csv_ints("is_masked").alias("is_masked"))
+                      csv_ints("labels").alias("labels"), csv_ints("is_masked").alias("is_masked"),
+                      genre_rows("genre_seq").alias("genre_seq"))
 
 
 def _requests(f: Frames) -> DataFrame:
@@ -216,12 +221,27 @@ def _requests(f: Frames) -> DataFrame:
     return seqs.select(F.col("userId").alias("request_id"), "pos", "movieId")
 
 
+def popularity(f: Frames) -> DataFrame:
+    """Every catalogue item with its number of training positives."""
+    counts = active_train(f).groupBy("movieId").agg(F.count(F.lit(1)).alias("count"))
+    return (f.movies.select("movieId").distinct().join(counts, "movieId", "left")
+             .select("movieId", F.coalesce("count", F.lit(0)).alias("count")))
+
+
+def next_recs(f: Frames) -> DataFrame:
+    trans = S.transitions(S.user_sequences(active_train(f)))
+    return S.next_items(_requests(f), trans, popularity(f), K)
+
+
 @query("serving_sequences")
 def serving_sequences(spark, sf_dir):
-    """Encode known items, append the mask token, last 80, pad."""
+    """Encode known items, append the mask token, last 80, pad;
+    genre rows of the tokens."""
     f = Frames(spark, sf_dir)
-    out = S.serving_sequences(_requests(f), f.movies, S.MAX_LEN)
-    return out.select("request_id", csv_ints("tokens").alias("tokens"))
+    vocab = S.genre_vocabulary(f.movies)
+    out = S.serving_sequences(_requests(f), f.movies, S.MAX_LEN,
+                              genre_vecs=S.genre_table(f.movies, vocab), n_genres=len(vocab))
+    return out.select("request_id", csv_ints("tokens").alias("tokens"), genre_rows("genre_seq").alias("genre_seq"))
 
 
 @query("transitions")
@@ -233,11 +253,9 @@ def transitions(spark, sf_dir):
 
 @query("next_items")
 def next_items(spark, sf_dir):
-    """M25 (re-aimed): top-10 next items from the request's last item by
-    transition count, items of the request excluded."""
-    f = Frames(spark, sf_dir)
-    trans = S.transitions(S.user_sequences(active_train(f)))
-    return S.next_items(_requests(f), trans, K)
+    """M25 (re-aimed): top-10 next items by the transition counts from all of
+    the request's items, then popularity; items of the request excluded."""
+    return next_recs(Frames(spark, sf_dir))
 
 
 

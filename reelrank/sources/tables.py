@@ -55,6 +55,14 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordered.select("userId", "movieId", "rating", "ts", split.alias("split"))
 
 
+def state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Newest modification time and total size of the files of the tables that
+    ratings and items are derived from; their content is not read."""
+    paths = [f"{sf_dir.rstrip('/')}/{name}.parquet" for name in ("lineitem", "orders", "part")]
+    files = spark.read.format("binaryFile").load(paths).select("modificationTime", "length")
+    return tuple(files.agg(F.max("modificationTime").cast("string"), F.sum("length")).first())
+
+
 def split(r: DataFrame, name: str) -> DataFrame:
     return r.filter(F.col("split") == name).drop("split")
 
