@@ -22,48 +22,140 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelrank.llm.common import written
+from reelrank.llm.wordhash import mix
 
-CACHE_WORDS = 400_000
-_MARK = "<|endoftext|>"
+BATCH_CHARS = 1 << 22
+CACHE_WORDS = 1_500_000
+_U = np.uint64
+_STEP = _U(0x9E3779B97F4A7C15 | 5)
+_SPACE, _LETTER, _DIGIT, _SIGN, _ODD = range(5)
+
+
+def _classes() -> np.ndarray:
+    """What the tokenizer's pattern makes of a character; odd are those that it
+    or its normalizer treats in some way of their own, or that may be part of
+    a special token."""
+    kind = np.full(0x110000, _ODD, np.uint8)
+    kind[[32, *range(9, 14)]] = _SPACE
+    for c in range(33, 127):
+        kind[c] = _LETTER if chr(c).isalpha() else _DIGIT if chr(c).isdigit() else _SIGN
+    kind[[ord("'"), ord("<")]] = _ODD
+    kind[[c for c in range(0xC0, 0x100) if c not in (0xD7, 0xF7)]] = _LETTER
+    return kind
 
 
 class Tokens:
-    """Ids of texts by a tokenizer whose pre-tokenizer drops white space, so
-    that the ids of a text are those of its space-separated parts in turn.
-    Parts met before are looked up; the table of parts is emptied when full."""
+    """Ids of texts by a tokenizer whose pattern drops white space and keeps
+    runs of letters, single digits and runs of signs apart, so that the ids of
+    a text are those of these words in turn. A word's ids are looked up by its
+    64-bit hash, on arrays; new words go through the tokenizer's model, and
+    whatever holds an odd character through the whole tokenizer, from space to
+    space. The table of words is emptied when it is full."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
-        self.mark = self.tokenizer.token_to_id(_MARK)
-        self.seen: dict[str, bytes] = {"": b""}
-
-    def _learn(self, parts: set[str]) -> None:
-        odd = [p for p in parts if "<|" in p or len(p) > 200]
-        for p in odd:
-            self.seen[p] = np.array(self.tokenizer.encode(p, add_special_tokens=False).ids, "<u4").tobytes()
-        plain = list(parts.difference(odd))
+        # the same model without the work that plain lower-case words don't need
+        self.words = Tokenizer.from_file(path)
+        self.words.normalizer = normalizers.Sequence([])
+        self.words.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocabulary = self.words.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith(self.words.model.end_of_word_suffix)]] = True
+        self.kind = _classes()
+        self.code = mix(np.arange(0x110000, dtype=np.uint64) + _U(1))
+        plain = self.kind != _ODD
+        lower = np.array([ord(chr(c).lower()) for c in range(256)])
+        self.folded = self.code.copy()
+        self.folded[:256] = np.where(plain[:256], self.code[lower], self.code[:256])
+        self._forget()
+
+    def _forget(self) -> None:
+        self.keys, self.first = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.count, self.ids = np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
+    def _learn(self, keys: np.ndarray, plain: list[str], odd: list[str], is_odd: np.ndarray) -> None:
+        """Add the ids of new words; ``keys`` in order, ``plain`` and ``odd``
+        in the order of theirs."""
         groups = [plain[i:i + 500] for i in range(0, len(plain), 500)]
-        joined = [_MARK.join(g) + _MARK for g in groups]
-        for g, e in zip(groups, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False), strict=True):
-            ids = np.array(e.ids, "<u4")
-            ends = np.flatnonzero(ids == self.mark)
-            data, at = ids.tobytes(), 0
-            for part, end in zip(g, ends.tolist(), strict=True):
-                self.seen[part] = data[4 * at:4 * end]
-                at = end + 1
+        found = [np.array(e.ids, np.uint32) for e in
+                 self.words.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)]
+        ids = np.concatenate(found) if found else np.zeros(0, np.uint32)
+        size = np.zeros(len(keys), np.int64)
+        size[~is_odd] = np.diff(np.flatnonzero(self.ends[ids]), prepend=-1)
+        others = [np.array(self.tokenizer.encode(o, add_special_tokens=False).ids, np.uint32) for o in odd]
+        size[is_odd] = [len(o) for o in others]
+        first = np.zeros(len(keys), np.int64)
+        first[~is_odd] = np.cumsum(size[~is_odd]) - size[~is_odd] + len(self.ids)
+        first[is_odd] = np.cumsum(size[is_odd]) - size[is_odd] + len(self.ids) + len(ids)
+        at = np.searchsorted(self.keys, keys)
+        self.keys, self.first, self.count = (np.insert(old, at, new) for old, new in (
+            (self.keys, keys), (self.first, first), (self.count, size)))
+        self.ids = np.concatenate([self.ids, ids, *others])
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Little-endian 32-bit ids of each text."""
-        for start in range(0, len(texts), 64):
-            split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts[start:start + 64]]
-            if len(self.seen) > CACHE_WORDS:
-                self.seen = {"": b""}
-            new = set().union(*split).difference(self.seen)
-            if new:
-                self._learn(new)
-            for parts in split:
-                yield b"".join(map(self.seen.__getitem__, parts))
+        at = 0
+        while at < len(texts):
+            end, size = at, 0
+            while end < len(texts) and (end == at or size + len(texts[end]) <= BATCH_CHARS):
+                size += len(texts[end])
+                end += 1
+            yield from self._encode(texts[at:end])
+            at = end
+
+    def _encode(self, texts: list[str]) -> Iterator[bytes]:
+        joined = "\n".join(texts) + "\n"
+        chars = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+        kind = self.kind[chars]
+        space = kind == _SPACE
+        part_at = ~space
+        part_at[1:] &= space[:-1]
+        starts = part_at.copy()
+        starts[1:] |= ~space[1:] & ((kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT))
+        parts = np.flatnonzero(part_at)
+        if not len(parts):
+            yield from [b""] * len(texts)
+            return
+        part = np.cumsum(part_at) - 1
+        odd_part = np.bincount(part[kind == _ODD], minlength=len(parts)) > 0
+        if odd_part.any():  # one word from space to space
+            starts &= part_at | ~odd_part[np.maximum(part, 0)]
+        starts = np.flatnonzero(starts)
+        is_odd = odd_part[part[starts]]
+        length = np.add.reduceat(~space, starts, dtype=np.int64)
+        run = np.diff(np.append(starts, len(chars)))
+        place = np.arange(starts[0], len(chars)) - np.repeat(starts, run)
+        power = np.full(int(run.max()), _STEP)
+        power[0] = 1
+        code = self.folded[chars]
+        if odd_part.any():
+            code = np.where(np.append(odd_part, False)[part], self.code[chars] + _U(1), code)
+        code[space] = 0
+        hashes = mix(np.add.reduceat(code[starts[0]:] * np.cumprod(power, dtype=np.uint64)[place], starts - starts[0])
+                     + length.astype(np.uint64))
+        keys, where, which = np.unique(hashes, return_index=True, return_inverse=True)
+        if len(self.keys) > CACHE_WORDS:
+            self._forget()
+        at = np.searchsorted(self.keys, keys)
+        new = np.ones(len(keys), bool)
+        new[at < len(self.keys)] = self.keys[at[at < len(self.keys)]] != keys[at < len(self.keys)]
+        if new.any():
+            spots = where[new]
+            spelt = [joined[a:b] for a, b in zip(starts[spots].tolist(), (starts[spots] + length[spots]).tolist(), strict=True)]
+            odd = is_odd[spots]
+            self._learn(keys[new], [w.lower() for w, o in zip(spelt, odd.tolist(), strict=True) if not o],
+                        [w for w, o in zip(spelt, odd.tolist(), strict=True) if o], odd)
+            at = np.searchsorted(self.keys, keys)
+        first, count = self.first[at][which], self.count[at][which]
+        ends = np.cumsum(count)
+        ids = self.ids[np.repeat(first - (ends - count), count) + np.arange(ends[-1])]
+        data = ids.astype("<u4").tobytes()
+        text_ends = np.cumsum([len(t) + 1 for t in texts])
+        cut = (4 * np.append(0, ends)[np.searchsorted(starts, text_ends)]).tolist()
+        for a, b in zip([0, *cut[:-1]], cut, strict=True):
+            yield data[a:b]
 
 
 _loaded: dict[str, Tokens] = {}
