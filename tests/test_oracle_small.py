@@ -5,12 +5,12 @@ import math
 import pytest
 
 import __spark_entry__ as E
+from reelrank.plans.catalog import REGISTRY
 
 from .conftest import SF
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
-SLOW = {"cosine_neighbours", "unseen_candidates", "cold_start_candidates"}
 
 
 def _norm(v):
@@ -35,7 +35,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("key", sorted(k for k in E.oracle_sql() if k not in SLOW))
+@pytest.mark.parametrize("key", sorted(k for k in E.oracle_sql() if k in REGISTRY))
 def test_matches_sql(spark, duck, key):
     df = E.queries()[key](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()

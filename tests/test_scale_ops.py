@@ -130,11 +130,11 @@ def test_jaccard_hot_items_exact(spark):
     rdf = spark.createDataFrame(sorted(req), "request_id int, movieId int")
     for k in (1, 3):
         want = _brute_jaccard(req, pop, k)
-        for hot_min in (20, 10_000):        # hot path on / off
+        for hot_quantile in (0.0, 0.5, 0.99):        # from nearly all items hot (over 40) to one
             got = {}
-            for row in jaccard_neighbours(rdf, pdf, k=k, hot_min=hot_min).orderBy("request_id", "rank").collect():
+            for row in jaccard_neighbours(rdf, pdf, k=k, hot_quantile=hot_quantile).orderBy("request_id", "rank").collect():
                 got.setdefault(row.request_id, []).append((row.neighbour, row.inter))
-            assert got == {r: v for r, v in want.items() if v}, (k, hot_min)
+            assert got == {r: v for r, v in want.items() if v}, (k, hot_quantile)
 
 
 def test_top_k_excluding_matches_brute_force(spark):
@@ -157,3 +157,172 @@ def test_top_k_excluding_matches_brute_force(spark):
         cand = sorted(((-s, i) for gg, i, s in lists if gg == g and (r, i) not in excl))[:10]
         want += [(r, k + 1, i) for k, (_, i) in enumerate(cand)]
     assert got == sorted(want)
+
+
+def _draws(spark, seed, users=300, n=10, n_items=1000):
+    items = spark.createDataFrame([(i,) for i in range(n_items)], "movieId int")
+    rated = spark.createDataFrame([(u, (u * 7 + j) % n_items) for u in range(users) for j in range(5)], "userId int, movieId int")
+    got = S.sample_negatives(rated.select("userId"), rated, items, n=n, seed=seed).collect()
+    out = {}
+    for r in got:
+        out.setdefault(r.userId, {})[r.draw] = r.movieId
+    return out
+
+
+def test_negative_draws_are_independent(spark):
+    """Items come up equally often, in no fixed order, and neither two users
+    nor two seeds share their draws."""
+    a, b = _draws(spark, 1), _draws(spark, 2)
+    n_items, users, n = 1000, 300, 10
+    counts = [0] * n_items
+    for d in a.values():
+        assert sorted(d) == list(range(n)) and len(set(d.values())) == n
+        for i in d.values():
+            counts[i] += 1
+    mean = users * n / n_items
+    chi = sum((c - mean) ** 2 / mean for c in counts)
+    assert abs(chi - (n_items - 1)) < 6 * (2 * n_items) ** 0.5
+    gaps = {(d[t + 1] - d[t]) % n_items for d in a.values() for t in range(n - 1)}
+    assert len(gaps) > 800
+    overlap = sum(len(set(a[u].values()) & set(b[u].values())) for u in a) / (users * n)
+    between = sum(len(set(a[u].values()) & set(a[u + 1].values())) for u in range(users - 1)) / ((users - 1) * n)
+    assert overlap < 0.03 and between < 0.03
+
+
+def test_dense_users_get_every_unrated_item(spark):
+    items = spark.createDataFrame([(i,) for i in range(50)], "movieId int")
+    rated = spark.createDataFrame([(1, i) for i in range(40)] + [(2, 1)], "userId int, movieId int")
+    got = S.sample_negatives(rated.select("userId"), rated, items, n=30, seed=4).collect()
+    assert sorted(r.movieId for r in got if r.userId == 1) == list(range(40, 50))
+    two = [r.movieId for r in got if r.userId == 2]
+    assert len(two) == len(set(two)) == 30 and 1 not in two
+
+
+def test_masked_positions_are_independent(spark):
+    n_users, length = 600, 61
+    seqs = spark.createDataFrame([(u, p, (u * 31 + p) % 500 + 1, length) for u in range(n_users)
+                                  for p in range(1, length + 1)], "userId int, pos int, movieId int, n int")
+    items = spark.createDataFrame([(i,) for i in range(1, 501)], "movieId int")
+    gaps = {}
+    for r in S.masked_sequences(seqs, items, None, 0, max_len=80, mask_prob=0.15, seed=3).select("is_masked").collect():
+        at = [i for i, f in enumerate(r.is_masked) if f]
+        for x, y in zip(at, at[1:]):
+            gaps[y - x] = gaps.get(y - x, 0) + 1
+    total = sum(gaps.values())
+    assert len(gaps) > 20
+    for g in range(1, 8):       # geometric, a little short of it because sequences end
+        assert abs(gaps[g] / total - 0.15 * 0.85 ** (g - 1)) < 0.03
+
+
+def test_exclude_ids_has_one_null_rule(spark):
+    from reelrank.operators.prep import exclude_ids, id_frame
+    df = spark.createDataFrame([(None,), (1,), (2,)], "movieId int")
+    for extra in ([], list(range(10, 2000))):
+        for ids in ([1, *extra], [1, None, *extra], id_frame(spark, [1, *extra], "x")):
+            got = sorted((r.movieId or 0) for r in exclude_ids(df, ids).collect())
+            assert got == [0, 2]
+
+
+def test_next_items_complete_and_exact(spark):
+    import random
+    rng = random.Random(8)
+    trans = {(rng.randrange(30), rng.randrange(30)): rng.randrange(1, 5) for _ in range(60)}
+    pop = {i: rng.randrange(0, 4) for i in range(40)}
+    reqs = {r: rng.sample(range(40), rng.randrange(1, 36)) for r in range(25)}
+    reqs[99] = [7] * 3 + [1000]                       # repeated and unknown items
+    T = spark.createDataFrame([(a, b, c) for (a, b), c in trans.items()], "prev_item int, next_item int, transitions long")
+    P = spark.createDataFrame(list(pop.items()), "movieId int, count long")
+    R = spark.createDataFrame([(r, p, i) for r, items in reqs.items() for p, i in enumerate(items)], "request_id int, pos int, movieId int")
+    got = {}
+    for r in S.next_items(R, T, P, 10).orderBy("request_id", "rank").collect():
+        got.setdefault(r.request_id, []).append((r.movieId, r.score))
+    for r, items in reqs.items():
+        score = {i: sum(trans.get((a, i), 0) for a in set(items)) for i in pop if i not in items}
+        want = sorted(score, key=lambda i: (-score[i], -pop[i], i))[:10]
+        assert got.get(r, []) == [(i, score[i]) for i in want]
+
+
+def test_cosine_blocks_match_brute_force(spark):
+    import random
+
+    import numpy as np
+    from reelrank.operators.similarity import cosine_neighbours
+    rng = random.Random(3)
+    prof = {u: {g: rng.random() for g in rng.sample("abcdefgh", rng.randrange(1, 5))} for u in range(60)}
+    rows = [(u, g, float(w / np.sqrt(sum(x * x for x in p.values())))) for u, p in prof.items() for g, w in p.items()]
+    users = spark.createDataFrame(rows, "userId int, genre string, weight double")
+    reqs = users.filter("userId < 20").withColumn("request_id", -F.col("userId")).withColumnRenamed("userId", "me")
+    for block in (7, 4096):
+        got = {}
+        for r in cosine_neighbours(reqs, users, 5, exclude_self="me", block=block).orderBy("request_id", "rank").collect():
+            got.setdefault(-r.request_id, []).append((r.neighbour, r.cosine))
+        unit = {u: {g: w for x, g, w in rows if x == u} for u in prof}
+        for u in range(20):
+            cos = {v: round(sum(w * unit[v].get(g, 0) for g, w in unit[u].items()), 12) for v in unit if v != u}
+            want = sorted((v for v in cos if cos[v] > 0), key=lambda v: (-cos[v], v))[:5]
+            assert [v for v, _ in got[u]] == want
+
+
+def test_request_rule_for_known_and_unknown_users(spark):
+    """A training user excludes the own history; a logged-in user without one
+    and an anonymous request borrow the neighbour's; without a neighbour only
+    the given items are left out. Every request gets 10 rows."""
+    from reelrank.plans import gbt as G
+    from reelrank.plans import q_gbt
+    from reelrank.plans.frames import Frames
+    from reelrank.plans.q_requests import exclusions, neighbours, unknown
+    f = Frames(spark, SF)
+    user = f.train.agg(F.min("userId")).first()[0]
+    own = {r.movieId for r in f.train.filter(F.col("userId") == user).collect()}
+    given = sorted(own)[:3]
+    rows = [(1, user, i) for i in given] + [(2, 999_999, i) for i in given] + [(3, None, i) for i in given]
+    rows += [(4, 999_998, 888_888), (5, None, 888_888)]
+    reqs = spark.createDataFrame(rows, "request_id int, userId int, movieId int")
+    nb = neighbours(f, unknown(f, reqs))
+    found = {r.request_id: r.neighbour for r in nb.collect()}
+    assert set(found) == {2, 3} and found[2] == found[3]
+    theirs = {r.movieId for r in f.train.filter(F.col("userId") == found[2]).collect()}
+    excl = exclusions(f, reqs, nb)
+    got = {}
+    for r in excl.collect():
+        got.setdefault(r.request_id, set()).add(r.movieId)
+    assert got[1] == own and got[2] == got[3] == theirs | set(given) and got[4] == got[5] == {888_888}
+    who = reqs.select("request_id", "userId").distinct()
+    items = f.train.select("movieId").distinct().join(f.movies, "movieId")
+    fm, model = q_gbt.feature_model(f), q_gbt.final_model(f)
+    top = {}
+    for r in G.recommend_catalogue(model, fm, who, excl, items, 10).orderBy("request_id", "rank").collect():
+        top.setdefault(r.request_id, []).append((r.movieId, r.score))
+    assert {r: len(v) for r, v in top.items()} == {r: 10 for r in range(1, 6)}
+    assert top[2] == top[3] and top[4] == top[5]      # no user and an unseen user are scored alike
+
+
+def test_missing_year_keeps_its_row(spark):
+    from reelrank.plans import gbt as G
+    rows = [(1, 1, 1, "A|B", "1990"), (1, 2, 0, "B", None), (2, 1, 1, None, "x")]
+    df = spark.createDataFrame(rows, "userId int, movieId int, label int, genres string, year string")
+    fm = G.fit_features(df)
+    got = {(r.userId, r.movieId): (r.year, r.yearMissing) for r in fm.transform(df).collect()}
+    assert got == {(1, 1): (1990, 0), (1, 2): (0, 1), (2, 1): (0, 1)}
+    assert fm.feature_names()[-1] == "yearMissing"
+
+
+def test_unseen_top_k_with_a_heavy_user(spark):
+    """A user who has seen all but two items, and one block per few ids."""
+    import numpy as np
+    from reelrank.plans import als as A
+    train = spark.createDataFrame([(u, i, float((u * i) % 5 + 1)) for u in range(12) for i in range(40) if (u + i) % 3],
+                                  "userId int, movieId int, rating double")
+    model = A.fit_als(train, rank=4, max_iter=3)
+    seen = spark.createDataFrame([(0, i) for i in range(38)] + [(1, 5), (1, 999)], "userId int, movieId int")
+    users = spark.createDataFrame([(0,), (1,), (2,), (500,)], "userId int")
+    got = {}
+    for r in A.recommend_unseen(model, users, seen, k=5, block=8).orderBy("userId", "rank").collect():
+        got.setdefault(r.userId, []).append(r.movieId)
+    U = {r.id: np.array(r.features, np.float32) for r in model.userFactors.collect()}
+    I = {r.id: np.array(r.features, np.float32) for r in model.itemFactors.collect()}
+    gone = {(r.userId, r.movieId) for r in seen.collect()}
+    for u in (0, 1, 2):
+        want = sorted((i for i in I if (u, i) not in gone), key=lambda i: (-float(U[u] @ I[i]), i))[:5]
+        assert got[u] == want
+    assert 500 not in got and len(got[0]) <= 2

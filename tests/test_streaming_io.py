@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from reelrank.operators import sequences as S
 from reelrank.plans.frames import Frames
-from reelrank.plans.q_sequences import _requests, active_train
+from reelrank.plans.q_sequences import _requests, active_train, popularity
 from reelrank.session import scratch_path
 from reelrank.streaming.requests import start_next_item_stream
 
@@ -18,11 +18,13 @@ def test_stream_matches_batch(spark):
     trans = S.transitions(S.user_sequences(active_train(f))).checkpoint(eager=True)
     reqs = _requests(f)
     base = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
-    reqs.write.parquet(f"{base}/requests")
-    q = start_next_item_stream(spark, f"{base}/requests", trans, f"{base}/out", f"{base}/ckpt")
+    pop = popularity(f)
+    (reqs.groupBy("request_id").agg(F.array_sort(F.collect_list(F.struct("pos", "movieId"))).alias("h"))
+         .select("request_id", F.col("h.movieId").alias("history")).write.parquet(f"{base}/requests"))
+    q = start_next_item_stream(spark, f"{base}/requests", trans, pop, f"{base}/out", f"{base}/ckpt")
     q.awaitTermination(300)
     got = spark.read.parquet(f"{base}/out").drop("epoch")
-    want = S.next_items(reqs, trans, 10)
+    want = S.next_items(reqs, trans, pop, 10)
     cols = ["request_id", "rank", "movieId", "score"]
     assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, want.select(*cols).collect()))
 
@@ -54,7 +56,7 @@ def test_als_unseen_is_exact(spark):
     seen = f.history().select("userId", "movieId")
     users = f.test.select("userId").distinct()
     got = {}
-    for r in A.recommend_unseen(model, users, seen, k=10, fetch=12).collect():
+    for r in A.recommend_unseen(model, users, seen, k=10, block=64).collect():
         got.setdefault(r.userId, []).append((r.rank, r.movieId))
     U = {r.id: np.array(r.features) for r in model.userFactors.collect()}
     I = {r.id: np.array(r.features) for r in model.itemFactors.collect()}
