@@ -28,14 +28,16 @@ def drop_seen_anti(scored: DataFrame, seen: DataFrame, user: str = "userId",
 
 
 def drop_seen_array(scored: DataFrame, seen: DataFrame, user: str = "userId",
-                    item: str = "movieId") -> DataFrame:
-    """P7 in the reference's shape: per-user seen set, then
-    ``seen IS NULL OR NOT array_contains(seen, item)``. Kept for parity; it
-    builds one array per user, so prefer :func:`drop_seen_anti`."""
-    sets = seen.groupBy(user).agg(F.collect_set(item).alias("_seen"))
-    return (scored.join(sets, user, "left")
+                    item: str = "movieId", chunk: int = 1000) -> DataFrame:
+    """P7 in the reference's shape: seen sets, then ``seen IS NULL OR NOT
+    array_contains(seen, item)``. A set holds the user's items of one range of
+    ``chunk`` ids, so an array never grows with a history. Kept for parity;
+    prefer :func:`drop_seen_anti`."""
+    part = F.floor(F.col(item) / chunk).alias("_part")
+    sets = seen.groupBy(user, part).agg(F.collect_set(item).alias("_seen"))
+    return (scored.withColumn("_part", part).join(sets, [user, "_part"], "left")
                   .filter(F.col("_seen").isNull() | ~F.array_contains("_seen", F.col(item)))
-                  .drop("_seen"))
+                  .drop("_seen", "_part"))
 
 
 def all_items(*frames: DataFrame, item: str = "movieId") -> DataFrame:

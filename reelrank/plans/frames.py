@@ -30,22 +30,26 @@ class Frames:
         state = T.state(self.spark, self.sf_dir)
         return (self.spark.sparkContext.applicationId, self.sf_dir, state)
 
-    # --- base tables -----------------------------------------------------
-    @cached_property
-    def ratings(self) -> DataFrame:
-        """The derived ratings table, written once per session and input
-        folder as parquet partitioned by split, in the session's shared
-        checkpoint folder. Later queries read that table: a split filter
-        prunes partitions, unused columns are not read, and a lost executor
-        re-reads files instead of re-deriving them."""
-        key = (*self.key, "ratings")
+    def shared(self, name: str, build, partition_by: str | None = None) -> DataFrame:
+        """A derived table that several queries read, written once per session
+        and state of the input as parquet in the session's shared checkpoint
+        folder: later queries scan it, unused columns are not read, and a lost
+        executor re-reads files instead of re-deriving them."""
+        key = (*self.key, name)
         if key not in _SHARED:
-            path = scratch_path(self.spark, f"ratings-{uuid.uuid4().hex}")
-            (T.ratings(self.spark, self.sf_dir)
-               .write.mode("overwrite").partitionBy("split").parquet(path))
+            path = scratch_path(self.spark, f"{name}-{uuid.uuid4().hex}")
+            writer = build().write.mode("overwrite")
+            (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
             _SHARED[key] = self.spark.read.parquet(path)
         return _SHARED[key]
 
+    # --- base tables -----------------------------------------------------
+    @cached_property
+    def ratings(self) -> DataFrame:
+        """The derived ratings table, partitioned by split (a split filter
+        prunes partitions)."""
+        return self.shared("ratings", lambda: T.ratings(self.spark, self.sf_dir), "split")
+
     @cached_property
     def movies(self) -> DataFrame:
         return T.movies(self.spark, self.sf_dir)

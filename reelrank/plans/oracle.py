@@ -555,12 +555,13 @@ SELECT movieId, title FROM movies WHERE contains(lower(title), 'red') ORDER BY t
 
 oracle("parse_histories", """
 WITH b AS (
-  SELECT l_orderkey AS request_id, CAST(l_partkey AS INT) AS pk, min(l_linenumber) AS first_ln
-  FROM lineitem GROUP BY 1, 2)
-SELECT request_id, CASE WHEN count(*) < 2 THEN 'too_few' ELSE 'ok' END AS status,
+  SELECT l_orderkey AS request_id, CAST((l_linenumber - 1) // 1000 AS INTEGER) AS chunk,
+         CAST(l_partkey AS INT) AS pk, min(l_linenumber) AS first_ln
+  FROM lineitem GROUP BY 1, 2, 3)
+SELECT request_id, chunk, CASE WHEN count(*) < 2 THEN 'too_few' ELSE 'ok' END AS status,
        string_agg(CAST(pk AS VARCHAR), ',' ORDER BY pk) AS history_sorted,
        string_agg(CAST(pk AS VARCHAR), ',' ORDER BY first_ln, pk) AS history_ordered
-FROM b GROUP BY request_id""")
+FROM b GROUP BY request_id, chunk""")
 
 
 req_oracle("recommend_requests_mean", """
@@ -655,8 +656,9 @@ SELECT r.request_id, i.movieId FROM (SELECT DISTINCT request_id FROM anon) r, it
 WHERE NOT EXISTS (SELECT 1 FROM anon a WHERE a.request_id = r.request_id AND a.movieId = i.movieId)""")
 
 oracle("item_sets", """
-SELECT userId, count(*) AS n_items, string_agg(CAST(movieId AS VARCHAR), ',' ORDER BY movieId) AS items
-FROM (SELECT DISTINCT userId, movieId FROM train) d GROUP BY userId""")
+SELECT userId, chunk, count(*) AS n_items, string_agg(CAST(movieId AS VARCHAR), ',' ORDER BY movieId) AS items
+FROM (SELECT *, (row_number() OVER (PARTITION BY userId ORDER BY movieId) - 1) // 1000 AS chunk
+      FROM (SELECT DISTINCT userId, movieId FROM train) d) p GROUP BY userId, chunk""")
 
 seq_oracle("encode_history", """
 WITH v AS (SELECT movieId, row_number() OVER (ORDER BY movieId) AS tok FROM (SELECT DISTINCT movieId FROM train) t)
@@ -670,7 +672,7 @@ INT_COLUMNS = {
     "cosine_neighbours": ["rank"], "encode_history": ["pos", "tok"],
     "encode_ids": ["item_idx", "user_idx"], "enrich_recommendations": ["rank"],
     "genre_vocab": ["term_index"], "global_index": ["index"], "hybrid": ["rank"],
-    "id_map": ["idx"], "id_map_roundtrip": ["idx"], "item_sets": ["n_items"],
+    "id_map": ["idx"], "id_map_roundtrip": ["idx"], "item_sets": ["n_items", "chunk"],
     "jaccard_neighbours": ["rank"], "recommend_requests_mean": ["rank"], "leave_one_out": ["n_train"], "map_external": ["rank"],
     "negatives": ["draw"], "next_items": ["rank"], "titles_for_ids": ["rank"], "top_k": ["rank"],
     "top_n_per_user": ["index"], "topk_with_title": ["rank"], "user_sequences": ["pos"],

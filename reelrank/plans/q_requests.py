@@ -12,13 +12,15 @@ from reelrank.operators import prep as P
 from reelrank.operators import sequences as S
 from reelrank.operators import similarity as SIM
 from reelrank.operators.hybrid import hybrid as blend
+from reelrank.operators.ordinal import with_ordinal
 from reelrank.operators.rank import top_k_excluding
 from reelrank.plans.frames import Frames
-from reelrank.plans.q_sequences import _requests, active_train, next_recs
+from reelrank.plans.q_sequences import _requests, active_train, next_recs, train_transitions
 from reelrank.plans.registry import K, csv_ints, query
 from reelrank.sources.tables import read_table
 
 ALPHA = 0.5
+CHUNK = 1000
 SEARCH_TEXT = "red"
 
 
@@ -165,7 +167,7 @@ def hybrid(spark, sf_dir):
     the request's best score) on every item with one; missing side = 0."""
     f = Frames(spark, sf_dir)
     a = f.scored_test().select("userId", "movieId", (F.col("score") / 5.0).alias("score"))
-    nxt = S.next_scores(_requests(f), S.transitions(S.user_sequences(active_train(f))))
+    nxt = S.next_scores(_requests(f), train_transitions(f))
     best = nxt.groupBy("request_id").agg(F.max("score").alias("_best"))
     b = (nxt.join(best, "request_id")
             .select(F.col("request_id").alias("userId"), "movieId",
@@ -225,15 +227,16 @@ def search_titles(spark, sf_dir):
 @query("parse_histories")
 def parse_histories(spark, sf_dir):
     """Each order's part keys as a typed-in id list (line order,
-    padded with blanks), validated: split, trim, drop blanks, to int,
+    padded with blanks; a list for every 1000 lines), validated: split, trim, drop blanks, to int,
     dedupe, sort; at least 2 ids."""
     li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    baskets = (li.groupBy("l_orderkey")
+    chunk = F.floor((F.col("l_linenumber") - 1) / CHUNK).cast("int").alias("chunk")
+    baskets = (li.groupBy("l_orderkey", chunk)
                  .agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))).alias("_l")))
     text = F.array_join(F.transform("_l", lambda s: F.concat(F.lit(" "), s["l_partkey"].cast("string"))), ", ,")
-    req = baskets.select(F.col("l_orderkey").alias("request_id"), text.alias("text"))
+    req = baskets.select(F.col("l_orderkey").alias("request_id"), "chunk", text.alias("text"))
     out = P.parse_histories(req, "text", 2)
-    return out.select("request_id", "status", csv_ints("history_sorted").alias("history_sorted"),
+    return out.select("request_id", "chunk", "status", csv_ints("history_sorted").alias("history_sorted"),
                       csv_ints("history_ordered").alias("history_ordered"))
 
 
@@ -250,11 +253,13 @@ def unseen_candidates_q(spark, sf_dir):
 
 @query("item_sets")
 def item_sets(spark, sf_dir):
-    """G1: sorted distinct training items per user. The set is bounded by
-    the catalogue; collect_set merges map-side before the shuffle."""
+    """G1: sorted distinct training items per user, in chunks of 1000 items,
+    so that no row holds a whole long history."""
     f = Frames(spark, sf_dir)
-    sets = f.train.groupBy("userId").agg(F.array_sort(F.collect_set("movieId")).alias("items"))
-    return sets.select("userId", F.size("items").alias("n_items"), csv_ints("items").alias("items"))
+    items = with_ordinal(f.train.select("userId", "movieId").distinct(), "userId", ["movieId"])
+    sets = (items.groupBy("userId", F.floor((F.col("pos") - 1) / CHUNK).cast("int").alias("chunk"))
+                 .agg(F.array_sort(F.collect_list("movieId")).alias("items")))
+    return sets.select("userId", "chunk", F.size("items").alias("n_items"), csv_ints("items").alias("items"))
 
 
 @query("encode_history")
@@ -278,7 +283,7 @@ def hybrid_als_profile(spark, sf_dir):
     from reelrank.plans import als as A
     f = Frames(spark, sf_dir)
     users = cold_users(f)
-    model = A.fit_als(f.train, **A.DEFAULTS, cache_key=f"{sf_dir}:train")
+    model = A.fit_als(f.train, **A.DEFAULTS, cache_key=str(f.key))
     req_prof = (SIM.genre_profile(f.test.join(users, "userId", "left_semi"), f.movies)
                    .withColumn("request_id", F.col("userId")).withColumnRenamed("userId", "req_user"))
     nb = SIM.cosine_neighbours(req_prof, SIM.genre_profile(f.train, f.movies), K,

@@ -27,6 +27,15 @@ def active_train(f: Frames) -> DataFrame:
     return S.min_activity(train_positives(f), S.MIN_TRAIN_POSITIVES)
 
 
+def train_sequences(f: Frames) -> DataFrame:
+    """Time-ordered sequences of the active training users, written once."""
+    return f.shared("train-sequences", lambda: S.user_sequences(active_train(f)))
+
+
+def train_transitions(f: Frames) -> DataFrame:
+    return f.shared("train-transitions", lambda: S.transitions(train_sequences(f)))
+
+
 def active_test(f: Frames) -> DataFrame:
     """Evaluation users: at least 13 positives over the whole ratings table
     (a tenth of a history is too short for a 10-item holdout)."""
@@ -88,18 +97,19 @@ def encode_ids(spark, sf_dir):
 def user_sequences(spark, sf_dir):
     """Time-ordered positive sequences in long form."""
     f = Frames(spark, sf_dir)
-    return S.user_sequences(active_train(f)).select("userId", "pos", "movieId")
+    return train_sequences(f).select("userId", "pos", "movieId")
 
 
 @query("leave_one_out")
 def leave_one_out(spark, sf_dir):
     """Last positive per user is the validation item."""
     f = Frames(spark, sf_dir)
-    return S.leave_one_out(S.user_sequences(active_train(f)))
+    return S.leave_one_out(train_sequences(f))
 
 
 def _holdout(f: Frames) -> DataFrame:
-    return S.last_n_holdout(S.user_sequences(active_test(f)), S.HOLDOUT, S.MIN_TEST_POSITIVES)
+    seqs = f.shared("holdout-sequences", lambda: S.user_sequences(active_test(f)))
+    return S.last_n_holdout(seqs, S.HOLDOUT, S.MIN_TEST_POSITIVES)
 
 
 @query("last_n_holdout")
@@ -113,8 +123,7 @@ def last_n_holdout(spark, sf_dir):
 
 
 def _token_seqs(f: Frames) -> DataFrame:
-    seqs = S.user_sequences(active_train(f))
-    return seqs.join(item_tokens(f), "movieId")
+    return train_sequences(f).join(item_tokens(f), "movieId")
 
 
 @query("pad_sequences")
@@ -140,7 +149,7 @@ def genre_sequences(spark, sf_dir):
     f = Frames(spark, sf_dir)
     vocab = S.genre_vocabulary(f.movies)
     gv = S.genre_table(f.movies, vocab)
-    out = S.genre_sequences(S.user_sequences(active_train(f)), gv, len(vocab), S.MAX_LEN)
+    out = S.genre_sequences(train_sequences(f), gv, len(vocab), S.MAX_LEN)
     return out.select("userId", genre_rows("genre_seq").alias("genre_seq"))
 
 
@@ -208,7 +217,7 @@ def masked_sequences(spark, sf_dir):
     f = Frames(spark, sf_dir)
     vocab = S.genre_vocabulary(f.movies)
     gv = S.genre_table(f.movies, vocab)
-    out = S.masked_sequences(S.user_sequences(active_train(f)), f.movies, gv, len(vocab),
+    out = S.masked_sequences(train_sequences(f), f.movies, gv, len(vocab),
                              S.MAX_LEN, S.MASK_PROB, SEED)
     return out.select("userId", csv_ints("tokens").alias("tokens"),
                       csv_ints("labels").alias("labels"), csv_ints("is_masked").alias("is_masked"),
@@ -217,7 +226,7 @@ def masked_sequences(spark, sf_dir):
 
 def _requests(f: Frames) -> DataFrame:
     """Test-split positive histories in time order as serving requests."""
-    seqs = S.user_sequences(P.positives(f.test))
+    seqs = f.shared("request-sequences", lambda: S.user_sequences(P.positives(f.test)))
     return seqs.select(F.col("userId").alias("request_id"), "pos", "movieId")
 
 
@@ -229,7 +238,7 @@ def popularity(f: Frames) -> DataFrame:
 
 
 def next_recs(f: Frames) -> DataFrame:
-    trans = S.transitions(S.user_sequences(active_train(f)))
+    trans = train_transitions(f)
     return S.next_items(_requests(f), trans, popularity(f), K)
 
 
@@ -248,7 +257,7 @@ def serving_sequences(spark, sf_dir):
 def transitions(spark, sf_dir):
     """Item-to-item transition counts of the training sequences."""
     f = Frames(spark, sf_dir)
-    return S.transitions(S.user_sequences(active_train(f)))
+    return train_transitions(f)
 
 
 @query("next_items")
