@@ -28,11 +28,17 @@ WHITE = "[\\x20\\x09-\\x0D]+"
 
 
 def lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id``, ``line_no`` (from 0), ``words`` of every line."""
+    """``id``, ``doc`` (hash of the text), ``line_no`` (from 0), ``words`` of
+    every line."""
     split = F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")
-    words = F.filter(F.split("line", WHITE), lambda w: w != "")
-    return (docs.select(F.col(id_col).alias("id"), F.posexplode(split).alias("line_no", "line"))
-            .select("id", "line_no", words.alias("words")))
+    return (docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("doc"),
+                        F.posexplode(split).alias("line_no", "line"))
+            .select("id", "doc", "line_no", _words(F.col("line")).alias("words")))
+
+
+def _words(line: Column) -> Column:
+    bare = F.btrim(line, F.lit(" \t\n\x0b\f\r"))
+    return F.when(bare != "", F.split(bare, WHITE)).otherwise(F.array().cast("array<string>"))
 
 
 def _key(words: Column) -> Column:
@@ -49,7 +55,7 @@ def _halves() -> Column:
         return [F.xxhash64(F.lit("lead"), h, F.slice("words", 1, h)),
                 F.xxhash64(F.lit("trail"), h, F.slice("words", n - h + 1, h))]
 
-    return F.array_distinct(F.array(*both(long), *both(short)))
+    return F.when(n % 2 == 0, F.array(*both(long), *both(short))).otherwise(F.array(*both(long)))
 
 
 def _alike(a: Column, b: Column) -> Column:
@@ -77,21 +83,23 @@ def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
     every = lines(docs, id_col, text_col)
     n = F.size("words")
     # row tells apart lines of equal id, number and words, so that one of them stays
-    table = written(every.select("id", "line_no", F.monotonically_increasing_id().alias("row"), n.alias("n"), F.when(n > 0, _key(F.col("words"))).alias("key"),
-                                 F.when(n >= min_words, _halves()).alias("halves")), "lines")
+    table = written(every.select("id", "doc", "line_no", F.monotonically_increasing_id().alias("row"), n.alias("n"),
+                                 F.when(n > 0, _key(F.col("words"))).alias("key"), F.when(n >= min_words, _halves()).alias("halves")),
+                    "lines")
     distinct = (table.filter("key IS NOT NULL").groupBy("key")
-                .agg(F.min(F.struct("id", "line_no", "row")).alias("first"), F.first("halves").alias("halves")))
+                .agg(F.min(F.struct("id", "line_no", "row", "doc")).alias("first"), F.first("halves").alias("halves")))
     filed = distinct.filter("halves IS NOT NULL").select("key", F.explode("halves").alias("half"))
     shared = filed.groupBy("half").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     able = filed.join(shared, "half").select("key").distinct()
-    firsts = distinct.select("key", "first.id", "first.line_no", "first.row")
+    firsts = distinct.select("key", "first.*")
     able = written(able.join(firsts, "key"), "lines-able")
 
-    text = (every.filter(n >= min_words).withColumn("key", _key(F.col("words")))
-            .join(able.select(F.col("key").alias("k"), F.col("id").alias("i"), F.col("line_no").alias("l")),
-                  (F.col("key") == F.col("k")) & F.col("id").eqNullSafe(F.col("i")) & (F.col("line_no") == F.col("l")), "left_semi")
-            .groupBy("key").agg(F.first("words").alias("words")))
-    text = written(text.join(able, "key").select("key", F.struct("id", "line_no", "key").alias("at"), "words"), "lines-text")
+    # the words of able lines, from the text that their first occurrence is in
+    whole = docs.select(F.col(id_col).alias("i"), F.xxhash64(text_col).alias("d"), F.col(text_col).alias("t"))
+    text = (able.join(whole, F.col("id").eqNullSafe(F.col("i")) & (F.col("doc") == F.col("d")))
+            .select("key", F.struct("id", "line_no", "key").alias("at"), F.split("t", "\n")[F.col("line_no")].alias("line"))
+            .groupBy("key", "at").agg(F.first("line").alias("line")))
+    text = written(text.select("at", _words(F.col("line")).alias("words")), "lines-text")
     near = _nearest(text)
     verdict = (firsts.join(near, "key", "left")
                .select("key", F.coalesce("near", F.struct("id", "line_no")).alias("keep"),
@@ -107,13 +115,16 @@ def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
 def _nearest(text: DataFrame) -> DataFrame:
     """``key``, ``near``: the earliest verified alike line that comes before the
     line, for lines that have one."""
-    def lacking(i: Column) -> Column:
-        return F.xxhash64(F.slice("words", 1, i), F.slice("words", i + 2, F.size("words")))
+    hashes = text.select("at", F.transform("words", lambda w: F.xxhash64(w)).alias("h"))
+
+    def lacking(i: Column) -> Column:  # a hash over two lists is that over both in turn
+        return F.xxhash64(F.slice("h", 1, i), F.slice("h", i + 2, F.size("h")))
 
-    places = F.transform(F.sequence(F.lit(0), F.size("words") - 1),
+    places = F.transform(F.sequence(F.lit(0), F.size("h") - 1),
                          lambda i: F.struct(i.alias("place"), lacking(i).alias("variant")))
-    variants = text.select("at", F.explode(places).alias("v")).select("at", "v.place", "v.variant")
-    whole = text.select(F.col("at").alias("whole"), F.xxhash64("words").alias("variant"))
+    # several joins below need the variants: they are made once
+    variants = written(hashes.select("at", F.explode(places).alias("v")).select("at", "v.place", "v.variant"), "lines-variants")
+    whole = hashes.select(F.col("at").alias("whole"), F.xxhash64("h").alias("variant"))
     replaced = variants.groupBy("variant", "place").agg(F.min("at").alias("near"), F.max("at").alias("last")).filter("near <> last")
     one = variants.join(replaced.drop("last"), ["variant", "place"]).filter("near < at").select("at", "near")
     more = variants.join(whole, "variant").select(F.greatest("at", "whole").alias("at"), F.least("at", "whole").alias("near"))
