@@ -103,7 +103,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
     size, words = rows.agg(F.sum(F.octet_length("text")), F.sum(F.regexp_count("text", F.lit("[^\\x20\\x09-\\x0D]+")))).first()
     size, words = size or 1, words or 0
     batches, ranges = math.ceil(size / BATCH_BYTES), math.ceil(size / RANGE_BYTES)
-    bits = min(64, size.bit_length() + 26)
+    bits = min(64, size.bit_length() + 22)
     id_type = dict(rows.dtypes)["id"]
     dealt = rows.withColumn("batch", F.pmod(F.xxhash64("id", "text"), F.lit(batches)).cast("int"))
 
