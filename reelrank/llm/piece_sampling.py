@@ -16,8 +16,6 @@ megabytes of whole texts at once on arrays, equal parts' lattices only once.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -26,7 +24,7 @@ from pyspark.sql import functions as F
 from reelrank.llm.wordhash import mix
 
 MARK = "▁"  # how pieces write a space
-BATCH_CHARS = 1 << 22
+BATCH_CHARS = 3 << 19
 _U = np.uint64
 _STEP = _U(0x9E3779B97F4A7C15 | 5)
 
@@ -61,7 +59,7 @@ class Pieces:
         ids = np.array(list(spelt), np.int64)
         hashes = np.array([self.hash_of(s) for s in spelt.values()], np.uint64)
         order = np.argsort(hashes)
-        self.hashes, self.ids = hashes[order], ids[order]
+        self.hashes, self.ids = hashes[order], ids[order].astype(np.int32)
         self.weights = (-alpha * np.log(np.arange(len(ids)) + 10.0))[order]
         self.rare = -alpha * float(np.log(len(ids) + 10.0))
         self.longest = max(map(len, spelt.values()), default=1)
@@ -76,6 +74,10 @@ class Pieces:
             h = (h * int(_STEP) + int(self.code[ord(c)])) % (1 << 64)
         return int(mix(np.array([h], np.uint64))[0])
 
+    def spell(self, ids: bytes) -> str:
+        """The text that little-endian ids spell, without the space before it."""
+        return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode()[1:]
+
     def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which of the (unmixed) hashes are pieces, and their places in the table."""
         h = mix(h)
@@ -109,50 +111,53 @@ class _Lattices:
 
     def __init__(self, pieces: Pieces, chars: np.ndarray, starts: np.ndarray, lengths: np.ndarray):
         order = np.argsort(-lengths, kind="stable")
-        self.rank = np.empty(len(order), np.int64)
-        self.rank[order] = np.arange(len(order))
+        self.rank = np.empty(len(order), np.int32)
+        self.rank[order] = np.arange(len(order), dtype=np.int32)
         length = lengths[order]
         alive = np.searchsorted(-length, -np.arange(length[0] + 1), side="right")  # parts that have the place
-        self.base = np.concatenate(([0], np.cumsum(alive)))
+        self.base = np.concatenate(([0], np.cumsum(alive))).astype(np.int32)
         first = np.cumsum(length) - length
-        part = np.repeat(np.arange(len(length)), length)
-        place = np.arange(len(part)) - first[part]
-        code = pieces.code[chars[starts[order][part] + place]]
-        left = length[part] - place
-        into, out, piece, weight = [], [], [], []
-        h, at = np.zeros(len(code), np.uint64), np.arange(len(code))
+        part = np.repeat(np.arange(len(length), dtype=np.int32), length)
+        place = (np.arange(len(part)) - np.repeat(first, length)).astype(np.int32)
+        spelt = chars[np.repeat(starts[order], length) + place]
+        code, left = pieces.code[spelt], np.repeat(length, length).astype(np.int32) - place
+        found = []  # for each piece length the nodes entered, the nodes left, and the pieces' places
+        h, at = np.zeros(len(code), np.uint64), np.arange(len(code), dtype=np.int32)
         for k in range(1, pieces.longest + 1):
-            keep = left[at] >= k
-            at, h = at[keep], h[keep]
-            if not len(at):
+            keep = np.flatnonzero(left[at] >= k)
+            if not len(keep):
                 break
+            at, h = at[keep], h[keep]
             h = h * _STEP + code[at + (k - 1)]
             hit, where = pieces.find(h)
             spots = at[hit]
-            into.append(self.base[place[spots] + k] + part[spots])
-            out.append(self.base[place[spots]] + part[spots])
-            piece.append(pieces.ids[where])
-            weight.append(pieces.weights[where])
             if k == 1:  # characters that are no piece
                 bare = np.ones(len(code), bool)
                 bare[spots] = False
                 bare = np.flatnonzero(bare)
-                into.append(self.base[place[bare] + 1] + part[bare])
-                out.append(self.base[place[bare]] + part[bare])
-                piece.append(-1 - chars[starts[order][part[bare]] + place[bare]].astype(np.int64))
-                weight.append(np.full(len(bare), pieces.rare))
-        node = np.concatenate(into[::-1])  # the longest piece into a node first: it is the likeliest
-        by = np.argsort(node, kind="stable")
-        node = node[by]
-        self.out, self.piece, weight = (np.concatenate(x[::-1])[by] for x in (out, piece, weight))
-        self.begin = np.searchsorted(node, np.arange(self.base[-1]))
-        self._filter(node, weight)
+                found.append((self.base[place[bare] + 1] + part[bare], self.base[place[bare]] + part[bare],
+                              -1 - spelt[bare].astype(np.int32), pieces.rare))
+            found.append((self.base[place[spots] + k] + part[spots], self.base[place[spots]] + part[spots],
+                          pieces.ids[where], pieces.weights[where]))
+        del code, left, h, at, part, place, spelt
+        count = np.zeros(self.base[-1] + 1, np.int32)
+        for node, *_ in found:
+            count[node + 1] += 1  # a piece length enters a node once
+        self.begin = np.cumsum(count, dtype=np.int32)
+        self.out, self.piece = np.empty(self.begin[-1], np.int32), np.empty(self.begin[-1], np.int32)
+        weight, next_edge = np.empty(self.begin[-1]), self.begin[:-1].copy()
+        while found:  # the longest piece into a node first: it is the likeliest
+            node, out, piece, w = found.pop()
+            to = next_edge[node]
+            self.out[to], self.piece[to], weight[to] = out, piece, w
+            next_edge[node] = to + 1
+        self._filter(np.repeat(np.arange(len(count) - 1, dtype=np.int32), count[1:]), weight)
 
     def _filter(self, node: np.ndarray, weight: np.ndarray) -> None:
         """Sums over the paths to each node, place by place, and the shares."""
         sums = np.zeros(self.base[-1])
         self.at = np.empty(len(node))
-        bounds = np.searchsorted(node, self.base)
+        bounds = self.begin[self.base]
         for a, b in zip(bounds[1:-1], bounds[2:], strict=True):
             here = node[a:b]
             seg = np.flatnonzero(np.concatenate(([True], here[1:] != here[:-1])))
@@ -170,7 +175,7 @@ class _Lattices:
     def walk(self, which: np.ndarray, lengths: np.ndarray, draws: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Sampled pieces of each part in order, and how many each has."""
         node = self.base[lengths] + self.rank[which]
-        walker, taken, parts = np.arange(len(node)), [], self.base[1]
+        walker, taken, parts = np.arange(len(node), dtype=np.int32), [], self.base[1]
         while len(walker):
             u = (mix(draws[walker] + _U(len(taken))) >> _U(40)).astype(np.float64) * 2.0**-24
             edge = self.begin[node[walker]]
@@ -181,11 +186,11 @@ class _Lattices:
             taken.append((walker, self.piece[edge]))
             node[walker] = self.out[edge]
             walker = walker[node[walker] >= parts]
-        count = np.zeros(len(node), np.int64)
+        count = np.zeros(len(node), np.int32)
         for w, _ in taken:
             count[w] += 1
-        ends = np.cumsum(count)
-        found = np.empty(ends[-1], np.int64)
+        ends = np.cumsum(count, dtype=np.int64)
+        found = np.empty(ends[-1], np.int32)
         for step, (w, p) in enumerate(taken):  # a walk runs from the end of the part to its start
             found[ends[w] - 1 - step] = p
         return found, count
@@ -215,7 +220,7 @@ def sample_batch(pieces: Pieces, texts: list[str], keys: np.ndarray) -> list[byt
     nth = (starts - doc_at[doc]).astype(np.uint64)
     draws = mix(keys[full][doc].astype(np.int64).view(np.uint64) + mix(nth + _U(1)))
     found, count = lattices.walk(which, lengths, draws)
-    per_doc = np.add.reduceat(count, np.searchsorted(doc, np.arange(len(full))))
+    per_doc = np.add.reduceat(count, np.searchsorted(doc, np.arange(len(full))), dtype=np.int64)
     odd = np.flatnonzero(found < 0)
     if len(odd):  # spelt in bytes
         spelt = [chr(-1 - c).encode() for c in found[odd].tolist()]
@@ -242,12 +247,24 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
     like any other. A null or empty text has no pieces (``text`` is then
     empty). An empty table gives an empty result.
     """
+    return _sampled(docs, id_col, text_col, seed, lambda: pieces_of(model, alpha), "binary", lambda p, out: out)
+
+
+def round_trip(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", alpha: float = 1.0,
+               seed: int = 0) -> DataFrame:
+    """:func:`encode` and :func:`decode` in one pass: ``id``, ``text``,
+    ``pieces``, ``decoded``."""
+    both = _sampled(docs, id_col, text_col, seed, lambda: pieces_of(model, alpha), "pieces binary, decoded string",
+                    lambda p, out: pd.DataFrame({"pieces": out, "decoded": [p.spell(o) for o in out]}))
+    return both.select("id", "text", "pieces.pieces", "pieces.decoded")
+
+
+def _sampled(docs: DataFrame, id_col: str, text_col: str, seed: int, load, kind: str, shape) -> DataFrame:
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     key = F.xxhash64(F.coalesce(F.col("id").cast("string"), F.lit("null")), F.lit(seed))
 
-    @F.pandas_udf("binary")
-    def sampled(texts: pd.Series, keys: pd.Series) -> pd.Series:
-        pieces, texts, keys = pieces_of(model, alpha), texts.tolist(), keys.to_numpy()
+    def sampled(texts: pd.Series, keys: pd.Series):
+        pieces, texts, keys = load(), texts.tolist(), keys.to_numpy()
         out, at = [], 0
         while at < len(texts):
             end, size = at, 0
@@ -256,9 +273,11 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
                 end += 1
             out += sample_batch(pieces, texts[at:end], keys[at:end])
             at = end
-        return pd.Series(out, dtype=object)
+        made = shape(pieces, out)
+        return made if isinstance(made, pd.DataFrame) else pd.Series(made, dtype=object)
 
-    return rows.withColumn("pieces", sampled("text", key))
+    sampled.__annotations__["return"] = pd.DataFrame if "," in kind else pd.Series
+    return rows.withColumn("pieces", F.pandas_udf(sampled, kind)("text", key))
 
 
 def decode(encoded: DataFrame, model: str, pieces_col: str = "pieces") -> DataFrame:
@@ -266,7 +285,7 @@ def decode(encoded: DataFrame, model: str, pieces_col: str = "pieces") -> DataFr
     one encoded; null pieces give the empty text."""
     @F.pandas_udf("string")
     def spelt(column: pd.Series) -> pd.Series:
-        spelling = pieces_of(model, 1.0).bytes_of
-        return pd.Series([b"".join(map(spelling.__getitem__, np.frombuffer(p, "<u4").tolist())).decode()[1:] for p in column], dtype=object)
+        pieces = pieces_of(model, 1.0)
+        return pd.Series([pieces.spell(p or b"") for p in column], dtype=object)
 
-    return encoded.withColumn("decoded", spelt(F.coalesce(F.col(pieces_col), F.lit(b""))))
+    return encoded.withColumn("decoded", spelt(pieces_col))

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelrank.llm.common import table
-from reelrank.llm.piece_sampling import decode, encode
+from reelrank.llm.piece_sampling import round_trip
 
 
 def model_path() -> str:
@@ -18,8 +18,7 @@ def model_path() -> str:
 def op6_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One sampled segmentation of every document, and whether it decodes to
     the very text."""
-    model = model_path()
-    both = decode(encode(table(spark, sf_dir, "documents"), model), model)
+    both = round_trip(table(spark, sf_dir, "documents"), model_path())
     return both.select(F.col("id").alias("doc_id"), (F.octet_length("pieces") / 4).cast("long").alias("n_pieces"),
                        F.crc32("pieces").alias("ids_crc32"), F.crc32(F.col("decoded").cast("binary")).alias("decoded_crc32"),
                        (F.col("decoded") == F.col("text")).alias("lossless"))
