@@ -39,6 +39,20 @@ def _unpack(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view("<u8").ravel()
 
 
+def _pack_counts(x: np.ndarray) -> bytes:
+    """Counts, most of which are 1: a bit for each, and those over 1."""
+    more = x > 1
+    return len(x).to_bytes(8, "little") + np.packbits(more).tobytes() + _pack(x[more])
+
+
+def _unpack_counts(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    end = 8 + -(-n // 8)
+    x = np.ones(n, np.uint64)
+    x[np.unpackbits(np.frombuffer(data[8:end], np.uint8), count=n).astype(bool)] = _unpack(data[end:])
+    return x
+
+
 class _Grams:
     """The n-grams of a batch of texts: for each order the place of every
     position's n-gram in ``keys`` (sorted hashes), or -1 near a text's start."""
@@ -110,22 +124,22 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
     def explode(batch: pd.DataFrame) -> pd.DataFrame:
         grams = _Grams(batch["text"].tolist(), order, bits)
         cut = grams.cuts(ranges, bits)
-        out = [(r, int(batch["batch"].iloc[0]), _pack(np.diff(grams.keys[a:b], prepend=_U(0))), _pack(grams.count[a:b]))
+        out = [(r, int(batch["batch"].iloc[0]), _pack(np.diff(grams.keys[a:b], prepend=_U(0))), _pack_counts(grams.count[a:b]))
                for r, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True))]
         return pd.DataFrame(out, columns=["range", "batch", "steps", "counts"])
 
     def count(group: pd.DataFrame) -> pd.DataFrame:
         keys = [np.cumsum(_unpack(s), dtype=np.uint64) for s in group["steps"]]
         _, where = np.unique(np.concatenate(keys), return_inverse=True)
-        counts = np.concatenate([_unpack(c) for c in group["counts"]])
+        counts = np.concatenate([_unpack_counts(c) for c in group["counts"]])
         total = np.bincount(where, weights=counts.astype(np.float64)).astype(np.uint64)[where]
         ends = np.cumsum([len(k) for k in keys])
         return pd.DataFrame({"batch": group["batch"], "range": group["range"],
-                             "totals": [_pack(t) for t in np.split(total, ends[:-1])]})
+                             "totals": [_pack_counts(t) for t in np.split(total, ends[:-1])]})
 
     def summed(batch: pd.DataFrame, totals: pd.DataFrame) -> pd.DataFrame:
         grams = _Grams(batch["text"].tolist(), order, bits)
-        total = np.concatenate([_unpack(t) for t in totals.sort_values("range")["totals"]]).astype(np.int64)
+        total = np.concatenate([_unpack_counts(t) for t in totals.sort_values("range")["totals"]]).astype(np.int64)
         return pd.DataFrame({"id": batch["id"], **_score_words(grams, grams.others(total), words, order, backoff)})
 
     exploded = dealt.groupBy("batch").applyInPandas(explode, "range int, batch int, steps binary, counts binary")
