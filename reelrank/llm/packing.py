@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from reelrank.llm.common import written
 from reelrank.llm.wordhash import mix
 
-BATCH_CHARS = 1 << 22
-CACHE_WORDS = 1_500_000
+BATCH_CHARS = 1 << 20
+CACHE_WORDS = 400_000
 _U = np.uint64
 _STEP = _U(0x9E3779B97F4A7C15 | 5)
 _SPACE, _LETTER, _DIGIT, _SIGN, _ODD = range(5)
@@ -53,11 +53,10 @@ class Tokens:
     space. The table of words is emptied when it is full."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
         # the same model without the work that plain lower-case words don't need
-        self.words = Tokenizer.from_file(path)
-        self.words.normalizer = normalizers.Sequence([])
+        self.words = Tokenizer(self.tokenizer.model)
         self.words.pre_tokenizer = pre_tokenizers.Sequence(
             [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocabulary = self.words.get_vocab()
