@@ -236,11 +236,9 @@ def score(text: Column, model: Model) -> Column:
     may = np.zeros(1 << bits, bool)  # most words are no feature: one lookup tells
     may[(features >> np.uint64(64 - bits)).astype(np.int64)] = True
 
-    @F.pandas_udf("double")
-    def scored(texts: pd.Series) -> pd.Series:
+    def logits(texts: list[str]) -> np.ndarray:
         out = np.full(len(texts), bias)
-        lowered = [(t or "").lower() for t in texts]
-        for first, bounds, words, leading in hashed_words(lowered, NOT_ALNUM, None, PREFIXES):
+        for first, bounds, words, leading in hashed_words([t.lower() for t in texts], NOT_ALNUM, None, PREFIXES):
             owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
             hits, docs = [], []
             for found in (words, *leading):
@@ -256,6 +254,11 @@ def score(text: Column, model: Model) -> Column:
             once = np.unique(doc[ok] * len(features) + at[ok])  # a feature counts once a text
             out[first:first + len(bounds) - 1] += np.bincount(
                 once // len(features), weights=weights[once % len(features)], minlength=len(bounds) - 1)
-        return pd.Series(1 / (1 + np.exp(-np.clip(out, -500, 500))))
+        return out
+
+    @F.pandas_udf("double")
+    def scored(texts: pd.Series) -> pd.Series:
+        parts = [logits(texts.iloc[i:i + 500].tolist()) for i in range(0, len(texts), 500)]
+        return pd.Series(1 / (1 + np.exp(-np.clip(np.concatenate([np.zeros(0), *parts]), -500, 500))))
 
     return scored(F.coalesce(text, F.lit("")))
