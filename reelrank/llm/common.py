@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from reelrank.session import ensure_checkpoint_dir, scratch_path
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -19,8 +20,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Let Python workers import this library when the driver found it by
-    path (a cluster ships it with --py-files or on PYTHONPATH)."""
+    """Prepare the session for this subpackage's Python tasks: workers can
+    import the library when the driver found it by path (a cluster ships it
+    with --py-files or on PYTHONPATH), and batches of whole texts have 1,000
+    rows, unless the session has chosen a number of its own."""
+    if spark.conf.get(BATCH_ROWS) == "10000":
+        spark.conf.set(BATCH_ROWS, "1000")
     env = spark.sparkContext.environment
     if ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (ROOT, env.get("PYTHONPATH")) if x)
