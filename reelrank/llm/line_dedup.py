@@ -12,6 +12,9 @@ Equal lines are merged before anything is filed. Of the rest only lines that
 share their leading or trailing half with another one can be alike at all (a
 single edit leaves one half whole), so only these are filed.
 
+Lines of few words can be compared by their characters in the same way (one
+character replaced, added or left out), if a least number of them is given.
+
 Only DataFrame functions are used. A variant or line that very many lines
 share costs one row each: members of a group meet its earliest line, never
 each other.
@@ -45,15 +48,26 @@ def _key(words: Column) -> Column:
     return F.unhex(F.md5(F.array_join(words, " ").cast("binary")))
 
 
-def _halves() -> Column:
+def _tokens(words: Column, min_words: int, min_chars: int | None) -> Column:
+    """What an edit replaces, adds or leaves out: the words of a line, or the
+    characters of one with few words; null where only equality counts. A
+    space before each character tells it from a word."""
+    if min_chars is None:
+        return F.when(F.size(words) >= min_words, words)
+    line = F.array_join(words, " ")
+    chars = F.transform(F.split(line, ""), lambda c: F.concat(F.lit(" "), c))
+    return F.when(F.size(words) >= min_words, words).when(F.char_length(line) >= max(min_chars, 1), chars)
+
+
+def _halves(tokens: Column) -> Column:
     """Hashes of the leading and trailing halves that an alike line of the same
-    length, one word more or one word less would share."""
-    n = F.size("words")
+    length, one token more or one token less would share."""
+    n = F.size(tokens)
     long, short = F.floor(n / 2).cast("int"), F.floor((n - 1) / 2).cast("int")
 
     def both(h: Column) -> list[Column]:
-        return [F.xxhash64(F.lit("lead"), h, F.slice("words", 1, h)),
-                F.xxhash64(F.lit("trail"), h, F.slice("words", n - h + 1, h))]
+        return [F.xxhash64(F.lit("lead"), h, F.slice(tokens, 1, h)),
+                F.xxhash64(F.lit("trail"), h, F.slice(tokens, n - h + 1, h))]
 
     return F.when(n % 2 == 0, F.array(*both(long), *both(short))).otherwise(F.array(*both(long)))
 
@@ -68,23 +82,26 @@ def _alike(a: Column, b: Column) -> Column:
     return (F.abs(F.size(a) - F.size(b)) <= 1) & (same(a, b) + same(F.reverse(a), F.reverse(b)) >= most - 1)
 
 
-def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 8) -> DataFrame:
+def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 8,
+              min_chars: int | None = None) -> DataFrame:
     """One row per line: ``id``, ``line_no``, ``n_words``, ``kept``, and the
     earliest equal or alike line ``keep_id``, ``keep_line`` (a kept line's own).
 
     Lines are the parts between line feeds, words what white space separates;
     white space itself does not count. A line without words is always kept.
-    Lines of fewer than ``min_words`` words are only compared for equality
-    (any two lines of one word are one edit apart). A null text has one line
+    Lines of fewer than ``min_words`` words are compared by characters with
+    each other if they have at least ``min_chars`` of them (one space between
+    words), else for equality only; None compares all of them for equality
+    only. A null text has one line
     without words. A null id comes before all others; rows that repeat an id
     are told apart by their lines, and of wholly equal rows one is kept. An
     empty table gives an empty result.
     """
-    every = lines(docs, id_col, text_col)
+    every = lines(docs, id_col, text_col).withColumn("tokens", _tokens(F.col("words"), min_words, min_chars))
     n = F.size("words")
     # row tells apart lines of equal id, number and words, so that one of them stays
     table = written(every.select("id", "doc", "line_no", F.monotonically_increasing_id().alias("row"), n.alias("n"),
-                                 F.when(n > 0, _key(F.col("words"))).alias("key"), F.when(n >= min_words, _halves()).alias("halves")),
+                                 F.when(n > 0, _key(F.col("words"))).alias("key"), F.when(F.col("tokens").isNotNull(), _halves(F.col("tokens"))).alias("halves")),
                     "lines")
     distinct = (table.filter("key IS NOT NULL").groupBy("key")
                 .agg(F.min(F.struct("id", "line_no", "row", "doc")).alias("first"), F.first("halves").alias("halves")))
@@ -94,12 +111,12 @@ def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
     firsts = distinct.select("key", "first.*")
     able = written(able.join(firsts, "key"), "lines-able")
 
-    # the words of able lines, from the text that their first occurrence is in
+    # the words or characters of able lines, from the text that their first occurrence is in
     whole = docs.select(F.col(id_col).alias("i"), F.xxhash64(text_col).alias("d"), F.col(text_col).alias("t"))
     text = (able.join(whole, F.col("id").eqNullSafe(F.col("i")) & (F.col("doc") == F.col("d")))
             .select("key", F.struct("id", "line_no", "key").alias("at"), F.split("t", "\n")[F.col("line_no")].alias("line"))
             .groupBy("key", "at").agg(F.first("line").alias("line")))
-    text = written(text.select("at", _words(F.col("line")).alias("words")), "lines-text")
+    text = written(text.select("at", _tokens(_words(F.col("line")), min_words, min_chars).alias("words")), "lines-text")
     near = _nearest(text)
     verdict = (firsts.join(near, "key", "left")
                .select("key", F.coalesce("near", F.struct("id", "line_no")).alias("keep"),
@@ -137,11 +154,12 @@ def _nearest(text: DataFrame) -> DataFrame:
             .select(F.col("at.key").alias("key"), F.struct("near.id", "near.line_no").alias("near")))
 
 
-def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 8) -> DataFrame:
+def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 8,
+                min_chars: int | None = None) -> DataFrame:
     """``docs`` with the dropped lines taken out of their texts; ids must be
     unique, as lines are told by id and number. Rows with a null id or text
     are left as they are."""
-    gone = (decisions(docs, id_col, text_col, min_words).filter("NOT kept AND id IS NOT NULL")
+    gone = (decisions(docs, id_col, text_col, min_words, min_chars).filter("NOT kept AND id IS NOT NULL")
             .groupBy(F.col("id").alias("_gone_id")).agg(F.collect_set("line_no").alias("_gone")))
     parts = F.split(F.col(f"_row.{text_col}"), "\n")
     left = F.filter(parts, lambda line, i: ~F.array_contains("_gone", i))

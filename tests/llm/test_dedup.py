@@ -191,3 +191,45 @@ def test_lines_of_repeated_and_null_ids(docs_of):
     out = line_dedup.decisions(docs_of([(1, line), (1, line), (None, line + " ten")])).collect()
     assert len(out) == 3 and not any(r.kept for r in out if r.id == 1)
     assert [r.kept for r in out if r.id is None] == [True]
+
+
+def test_short_lines_by_characters(docs_of):
+    """Lines of fewer than min_words words, as character edit distance says."""
+    rng = random.Random(11)
+    base = ["Anheerat, by in ofonthhahe er. Erin.", "Share this page now", "Seite 12 von 30", "日本語のページです、次へ", "a b c d e f gh", "abcdefgh"]
+    texts = list(base) + ["a b c d e f g h", "a b c d e f g h i", "Page 1", "Page 2", "short", "shor", " \U0001F600 smile here ", "smile here"]
+    for b in base:
+        for _ in range(6):
+            c, at = list(b), rng.randrange(len(b))
+            c[at:at + 1] = rng.choice([[], ["z"], [c[at], "q"], [c[at], c[at]]])
+            texts.append("".join(c))
+    rng.shuffle(texts)
+    rows = [(tuple(t.split()), " ".join(t.split())) for t in texts]
+    firsts = {}
+    for i, (w, s) in enumerate(rows):
+        firsts.setdefault(w, i)
+
+    def near(a, b):
+        (v, s), (w, t) = a, b
+        if len(v) >= 8 or len(w) >= 8:
+            return len(v) >= 8 and len(w) >= 8 and near_lines(v, w)
+        return len(s) >= 8 and len(t) >= 8 and near_lines(list(s), list(t))
+
+    want = [min([firsts[row[0]]] + [j for j in firsts.values() if near(rows[j], row)]) for row in rows]
+    docs = docs_of(list(enumerate(texts)))
+    got = {r.id: (r.keep_id, r.kept) for r in line_dedup.decisions(docs, min_chars=8).collect()}
+    assert got == {i: (k, k == i) for i, k in enumerate(want)}
+    equal = {r.id: r.keep_id for r in line_dedup.decisions(docs).collect()}
+    assert sum(want[i] != equal[i] for i in equal) > 10
+
+
+def test_short_lines_as_sql(spark):
+    import duckdb
+
+    from reelrank.llm.q_line_dedup import ORACLE, QUERIES
+
+    from ..conftest import SF
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    got = QUERIES["op8_line_dedup_short"](spark, SF).collect()
+    assert sorted(map(tuple, got)) == sorted(con.execute(ORACLE["op8_line_dedup_short"]).fetchall())
