@@ -6,7 +6,9 @@ and divided by the number of blocks; the two ratios are smoothed along the
 page, fused into one value, and paths under a threshold are no content. What
 stays names the content root, whose blocks make up the text.
 
-Elements that are boilerplate by their tag, role or class name never count.
+Elements that are boilerplate by their tag, or hidden, never count; those that
+are by their role, id or a whole class name only if they are not what holds the
+page's content, else they stand on their ratios.
 Spark splits the pages over tasks; a page is read by one call of a helper.
 """
 
@@ -39,40 +41,78 @@ BOILERPLATE_NAMES = frozenset(
     "breadcrumb breadcrumbs header footer cookie cookies consent notice notices popup modal newsletter subscribe share "
     "sharing social related recommended comment comments commentlist respond replies disqus widget pagination pager "
     "login signup toolbar masthead copyright".split())
+# Names of readers' replies, which may be longer than what they reply to.
+REPLIES = frozenset("comment comments commentlist respond replies disqus".split())
 # A start tag ends an open element of these kinds.
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("td", "th", "tr"), "td": ("td", "th"),
         "th": ("td", "th"), "option": ("option",)}
 
 _TAG = re.compile(r"<(?:!--|(/?)([a-zA-Z][^\s/>]*)|[!?])")
-_ATTRIBUTE = re.compile(r"""(class|id|role|hidden|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"?|'([^']*)'?|([^\s>]+)))?""")
 _PUNCTUATION = re.compile(r"[.,;:!?…。，！？；]")
 
 
 @dataclass
 class Block:
-    """A block's raw text nodes and the elements it lies in."""
+    """A block's raw text nodes (text, whether in a link, the named elements
+    around it) and the elements it lies in."""
     elements: tuple[tuple[str, int], ...]
-    parts: list[str] = field(default_factory=list)
+    parts: list[tuple[str, bool, tuple[Named, ...]]] = field(default_factory=list)
     linked: int = 0
     text: str = ""
 
 
-def _boilerplate(tag: str, attributes: str, inside_content: bool) -> bool:
+@dataclass(eq=False)
+class Named:
+    """An element that is boilerplate by its names."""
+    replies: bool
+    inside: bool  # an article or main
+    size: int = 0
+    holds: bool = False  # text in an article or main of its own
+
+
+def _boilerplate(tag: str, attributes: str, inside_content: bool) -> bool | Named:
     if tag in BOILERPLATE_TAGS:
         return not (tag == "header" and inside_content)
     if not attributes or tag in ("html", "body", "article", "main"):
         return False
+    values: dict[str, str] = {}
     for m in _ATTRIBUTE.finditer(attributes):
-        name, value = m[1].lower(), next((g for g in m.groups()[1:] if g is not None), "").lower()
-        if name == "hidden" or name == "style" and "display:none" in value.replace(" ", ""):
-            return True
-        if name == "role" and value in BOILERPLATE_ROLES:
-            return True
-        if name in ("class", "id") and not BOILERPLATE_NAMES.isdisjoint(re.split(r"[^a-z0-9]+", value)):
-            return True
+        values.setdefault(m[1].lower(), next((g for g in m.groups()[1:] if g is not None), "").lower())
+    if "hidden" in values or "display:none" in values.get("style", "").replace(" ", ""):
+        return True
+    names = {*values.get("class", "").split(), values.get("id", "").strip()}
+    if values.get("role", "").strip() in BOILERPLATE_ROLES or not BOILERPLATE_NAMES.isdisjoint(names):
+        return Named(not REPLIES.isdisjoint(names), inside_content)
     return False
 
 
+def _without_named(found: list[Block]) -> None:
+    """Set the blocks' texts, without the parts in a named element that does
+    not hold the page's content. It does if it has an article or main, when
+    none lies outside and no more text does, or most of the page's text."""
+    free = total = 0
+    free_content = False
+    for b in found:
+        content = any(t in CONTENT_TAGS for t, _ in b.elements)
+        for text, _, named in b.parts:
+            size = len(text.strip())
+            total += size
+            free += 0 if named else size
+            free_content |= content and size > 0 and not named
+            for e in named:
+                e.size += size
+                e.holds |= content and size > 0 and not e.inside
+    stands: dict[Named, bool] = {}
+    for e in {e for b in found for _, _, named in b.parts for e in named}:
+        most = 2 * e.size > total and not (e.replies and free)
+        stands[e] = (e.inside or not free_content) and (most or e.holds and e.size >= free)
+    for b in found:
+        parts = [p for p in b.parts if all(stands[e] for e in p[2])]
+        b.linked = sum(len(text) for text, linked, _ in parts if linked)
+        b.text = " ".join("".join(p[0] for p in parts).split())
+
+
 def _tag_end(page: str, at: int, last_quote: dict[str, int]) -> int:
     """Index after the tag's closing bracket; brackets in quoted values don't count."""
     while True:
@@ -91,23 +131,21 @@ def _tag_end(page: str, at: int, last_quote: dict[str, int]) -> int:
 def blocks(page: str) -> list[Block]:
     """The blocks of text outside boilerplate, in page order."""
     out: list[Block] = []
-    stack: list[tuple[str, int, bool]] = []  # tag, number, boilerplate
+    stack: list[tuple[str, int, bool | Named]] = []  # tag, number, boilerplate
     lower, last_quote = page.lower(), {q: page.rfind(q) for q in "\"'"}
     at = number = 0
     current: Block | None = None
 
     def text(raw: str) -> None:
         nonlocal current
-        if not raw or any(e[2] for e in stack):
+        if not raw or any(e[2] is True for e in stack):
             return
         if "header" in (tags := [e[0] for e in stack]) and HEADINGS.isdisjoint(tags):
             return
         if current is None:
             current = Block(tuple((t, n) for t, n, _ in stack if t in BLOCK_TAGS))
             out.append(current)
-        decoded = entities.unescape(raw)
-        current.parts.append(decoded)
-        current.linked += len(decoded) if "a" in tags else 0
+        current.parts.append((entities.unescape(raw), "a" in tags, tuple(e[2] for e in stack if e[2])))
 
     def pop_to(i: int) -> None:
         nonlocal current
@@ -150,8 +188,7 @@ def blocks(page: str) -> list[Block]:
             number += 1
             inside = any(e[0] in CONTENT_TAGS for e in stack)
             stack.append((tag, number, _boilerplate(tag, page[m.end():at - 1], inside)))
-    for b in out:
-        b.text = " ".join("".join(b.parts).split())
+    _without_named(out)
     return [b for b in out if b.text]
 
 

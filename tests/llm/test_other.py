@@ -187,6 +187,36 @@ def test_main_text(page, text):
     assert html_extract.main_text(page) == text
 
 
+LONG_P = "<p>A long sentence of the text, with words. And more of it.</p>"
+LONG_T = "A long sentence of the text, with words. And more of it."
+
+
+@pytest.mark.parametrize("named", ['class="content no-sidebar"', "class='with-sidebar'", 'id="related-work"', 'class="social-policy"',
+                                   "class=related", 'role=banner class="x header"'])
+def test_named_element_around_the_article(named):
+    page = f"<body><div class=menu><a href=x>Home</a></div><div {named}><article><h1>T</h1>{LONG_P * 3}</article></div></body>"
+    assert html_extract.main_text(page) == "\n\n".join(["T"] + [LONG_T] * 3)
+    page = f"<body><div class=menu><a href=x>Home</a></div><div {named}>{LONG_P * 3}</div></body>"
+    assert html_extract.main_text(page) == "\n\n".join([LONG_T] * 3)
+
+
+@pytest.mark.parametrize("attribute", ['href="/hidden-gems"', 'title="a hidden place"', 'aria-hidden="false"', 'data-id="menu-7"',
+                                       'href="/item?id=nav"', "href=/x/role=search", 'data-class="ad"', "title='class=ad id=menu'"])
+def test_attributes_by_exact_name(attribute):
+    assert html_extract.main_text(f"<article><p>See <a {attribute}>this place</a> now.</p></article>") == "See this place now."
+
+
+@pytest.mark.parametrize("page,text", [
+    (f"<article>{LONG_P * 2}<div class='box ad'>Buy, now.</div><p>a <span id=promo>b</span>c</p></article>", [LONG_T, LONG_T, "a c"]),
+    (f"<div class=post>{LONG_P * 4}</div><div class=sidebar><article><p>Teaser, short.</p></article></div>", [LONG_T] * 4),
+    (f"<article>{LONG_P}</article><ol class=comments><li><article>{LONG_P * 5}</article></ol>", [LONG_T]),
+    (f"<div><p>x</p>{LONG_P}</div><div id=comments>{LONG_P * 5}</div>", ["x", LONG_T]),
+    ("<article><p>a</p><p HIDDEN>b</p><p style='Display: none'>c</p><div class=ad hidden>d</div></article>", ["a"]),
+])
+def test_named_elements_that_do_not_hold_the_content(page, text):
+    assert html_extract.main_text(page) == "\n\n".join(text)
+
+
 def test_extract_column(spark):
     rows = [(1, None, PAGE), (2, "u", None), (None, "u", "")]
     frame = spark.createDataFrame(rows, "page_id long, url string, html string")
