@@ -194,10 +194,8 @@ def blocks(page: str) -> list[Block]:
 
 def _smooth(x: np.ndarray) -> np.ndarray:
     kernel = np.exp(-0.5 * np.arange(-2, 3) ** 2)
-    weight = np.convolve(np.ones(len(x)), kernel, "same") if len(x) >= 5 else None
-    if weight is None:
-        return x
-    return np.convolve(x, kernel, "same") / weight
+    here = slice(2, 2 + len(x))  # a page may be shorter than the kernel
+    return np.convolve(x, kernel)[here] / np.convolve(np.ones(len(x)), kernel)[here]
 
 
 def content(found: list[Block]) -> list[Block]:
@@ -215,10 +213,16 @@ def content(found: list[Block]) -> list[Block]:
     fused = length / max(length.max(), 1) * (1 + marks / max(marks.max(), 1)) * (1 - links[path])
     kept = [b for b, ok in zip(pool, fused >= min(fused.std(), fused.max()), strict=True) if ok]
     roots = {_root(b) for b in kept}
-    listing = {p for p in range(len(paths)) if links[p] > 0.5 and not sums[1][p]}
-    return [b for b, p in zip(pool, path, strict=True)
-            if (not roots.isdisjoint(b.elements) or () in roots)
-            and (p not in listing or b.elements and b.elements[-1][0] in HEADINGS)]
+    chosen = [not roots.isdisjoint(b.elements) or () in roots for b in pool]
+    for i in range(len(pool) - 2, -1, -1):  # headings directly before a root's blocks
+        chosen[i] |= chosen[i + 1] and _heading(pool[i])
+    # a list of links is part of an article, elsewhere it is navigation
+    listing = {p for p in range(len(paths)) if links[p] > 0.5 and not sums[1][p]} if not inside else set()
+    return [b for b, p, ok in zip(pool, path, chosen, strict=True) if ok and (p not in listing or _heading(b))]
+
+
+def _heading(b: Block) -> bool:
+    return bool(b.elements) and b.elements[-1][0] in HEADINGS
 
 
 def _root(b: Block) -> tuple:

@@ -217,6 +217,30 @@ def test_named_elements_that_do_not_hold_the_content(page, text):
     assert html_extract.main_text(page) == "\n\n".join(text)
 
 
+@pytest.mark.parametrize("paragraphs", [1, 2, 3, 8])
+@pytest.mark.parametrize("before,after", [
+    ("<div class=post><h1>Title</h1><div class=text>", "</div></div>"),
+    ("<main><h1>Title</h1><article>", "</article></main>"),
+    ("<div class=post><header><h1>Title</h1></header><div class=text>", "</div></div>"),
+    ("<div><div><h1>Title</h1></div><div class=text>", "</div></div>"),
+    ("<div><h1>Title</h1></div>" + "<div class=text>", "</div>"),
+])
+def test_title_outside_the_text_element(before, after, paragraphs):
+    if "header" in before:
+        before, after = f"<article>{before}", f"{after}</article>"
+    page = f"<body>{before}{LONG_P * paragraphs}{after}<div><a href=x>Home</a> <a href=y>Up</a></div></body>"
+    assert html_extract.main_text(page) == "\n\n".join(["Title"] + [LONG_T] * paragraphs)
+
+
+def test_link_lists_of_the_article():
+    links = "<ul><li><a href=x>First source</a><li><a href=y>Second source</a></ul>"
+    for tag in ("article", "main"):
+        page = f"<div>{links}</div><{tag}>{LONG_P * 3}<h2>Sources</h2>{links}</{tag}>"
+        assert html_extract.main_text(page) == "\n\n".join([LONG_T] * 3 + ["Sources", "First source", "Second source"])
+    page = f"<div>{links}</div><div>{LONG_P * 3}{links}</div>"
+    assert html_extract.main_text(page) == "\n\n".join([LONG_T] * 3)
+
+
 def test_extract_column(spark):
     rows = [(1, None, PAGE), (2, "u", None), (None, "u", "")]
     frame = spark.createDataFrame(rows, "page_id long, url string, html string")
