@@ -27,6 +27,7 @@ from reelrank.llm.wordhash import hashed_words, mix
 _U = np.uint64
 BATCH_BYTES = 4 << 20
 RANGE_BYTES = 8 << 20
+HASH_BITS = 64
 
 
 def _pack(x: np.ndarray) -> bytes:
@@ -57,7 +58,7 @@ class _Grams:
     """The n-grams of a batch of texts: for each order the place of every
     position's n-gram in ``keys`` (sorted hashes), or -1 near a text's start."""
 
-    def __init__(self, texts: list[str], order: int, bits: int):
+    def __init__(self, texts: list[str], order: int):
         words, ends = [], [0]
         for _, bounds, found, _ in hashed_words(texts):
             words.append(found)
@@ -70,7 +71,7 @@ class _Grams:
         for k in range(order):
             if k:
                 rolled = mix(np.concatenate(([0], rolled[:-1])).astype(np.uint64) * _U(0xD6E8FEB86659FD93) + w + _U(k + 1))
-            hashes.append((rolled >> _U(64 - bits))[self.nth >= k])
+            hashes.append(rolled[self.nth >= k])
         self.keys, where, self.count = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
         self.place, at = [], 0
         for k in range(order):
@@ -80,9 +81,9 @@ class _Grams:
             at += ok.sum()
             self.place.append(place)
 
-    def cuts(self, ranges: int, bits: int) -> np.ndarray:
+    def cuts(self, ranges: int) -> np.ndarray:
         """Where each range of hashes begins in ``keys``."""
-        lows = [-(-(r << bits) // ranges) for r in range(ranges)]
+        lows = [-(-(r << HASH_BITS) // ranges) for r in range(ranges)]
         return np.append(np.searchsorted(self.keys, np.array(lows, np.uint64)), len(self.keys))
 
     def others(self, total: np.ndarray) -> list[np.ndarray]:
@@ -110,20 +111,18 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
     by its count over all words of the others, and an unseen word as one of
     one word more than those. A null or empty text has no words and score 0.
     Rows that repeat an id or a text are documents each. An empty table gives
-    an empty result. N-grams are told apart by hashes whose length grows with
-    the corpus.
+    an empty result. N-grams are told apart by 64-bit hashes.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     size, words = rows.agg(F.sum(F.octet_length("text")), F.sum(F.regexp_count("text", F.lit("[^\\x20\\x09-\\x0D]+")))).first()
     size, words = size or 1, words or 0
     batches, ranges = math.ceil(size / BATCH_BYTES), math.ceil(size / RANGE_BYTES)
-    bits = min(64, size.bit_length() + 22)
     id_type = dict(rows.dtypes)["id"]
     dealt = rows.withColumn("batch", F.pmod(F.xxhash64("id", "text"), F.lit(batches)).cast("int"))
 
     def explode(batch: pd.DataFrame) -> pd.DataFrame:
-        grams = _Grams(batch["text"].tolist(), order, bits)
-        cut = grams.cuts(ranges, bits)
+        grams = _Grams(batch["text"].tolist(), order)
+        cut = grams.cuts(ranges)
         out = [(r, int(batch["batch"].iloc[0]), _pack(np.diff(grams.keys[a:b], prepend=_U(0))), _pack_counts(grams.count[a:b]))
                for r, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True))]
         return pd.DataFrame(out, columns=["range", "batch", "steps", "counts"])
@@ -138,7 +137,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
                              "totals": [_pack_counts(t) for t in np.split(total, ends[:-1])]})
 
     def summed(batch: pd.DataFrame, totals: pd.DataFrame) -> pd.DataFrame:
-        grams = _Grams(batch["text"].tolist(), order, bits)
+        grams = _Grams(batch["text"].tolist(), order)
         total = np.concatenate([_unpack_counts(t) for t in totals.sort_values("range")["totals"]]).astype(np.int64)
         return pd.DataFrame({"id": batch["id"], **_score_words(grams, grams.others(total), words, order, backoff)})
 

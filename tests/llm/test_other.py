@@ -168,6 +168,18 @@ def test_piece_distribution(alpha):
     assert all(abs(found[p] / n - w / whole) < 5 * math.sqrt(w / whole / n) + 1e-4 for p, w in want.items())
 
 
+def test_words_of_alike_hashes_are_told_apart(docs_of):
+    """Two words whose hashes agree in the leading 26 bits are two n-grams."""
+    from reelrank.llm.wordhash import hashed_words, mix
+    names = [f"w{i}" for i in range(10_000, 60_000)]
+    lead = mix(np.concatenate([w for _, _, w, _ in hashed_words(names)]) + np.uint64(1)) >> np.uint64(38)
+    order = np.argsort(lead, kind="stable")
+    at = np.flatnonzero(np.diff(lead[order]) == 0)[0]
+    pairs = [(i, names[order[at + i]]) for i in range(2)]
+    got = [r.score for r in lm_score.score(docs_of(pairs)).collect()]
+    assert got == pytest.approx([-math.log(2)] * 2)  # each word is unseen in the other text
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body>
 <header><h1>Site</h1></header><nav><ul><li><a href="/a">A</a></ul></nav><div class="ad">Buy, now.</div><div class="cookie-notice">We use.</div>
 <article><h1>Head &amp; line</h1><p title="a > b"><b>First   para, with
