@@ -126,6 +126,22 @@ def test_near_null_and_repeated_ids(docs_of):
     assert {r.doc_id for r in kept.collect()} <= {None, 1, 3}
 
 
+def test_near_each_text_of_a_repeated_id(docs_of):
+    """Texts that share an id are linked, kept and dropped each by its own set."""
+    def text(name, tail=""):
+        return " ".join(f"{name}{i}" for i in range(50)) + tail
+
+    rows = [(1, text("a")), (5, text("a", " x")), (5, text("b")), (5, text("c")), (6, text("b", " x")), (7, text("c", " y")),
+            (8, text("d")), (8, text("d", " z")), (9, text("e")), (9, text("e")), (10, None), (10, text("a", " w"))]
+    out = minhash.deduplicate(docs_of(rows), words=2)
+    got = sorted((r.doc_id, r.text or "") for r in out.collect())
+    twice = [r for r in got if r[0] == 8]
+    assert len(twice) == 1 and twice[0] in rows  # near copies of equal id: one stays
+    assert [r for r in got if r[0] != 8] == [(1, text("a")), (5, text("b")), (5, text("c")), (9, text("e")), (9, text("e")), (10, "")]
+    linked = minhash.link_documents(docs_of(rows), words=2).collect()
+    assert sorted((r.id, r.component_id) for r in linked) == [(1, 1), (5, 1), (5, 5), (5, 5), (6, 5), (7, 5), (8, 8), (8, 8), (9, 9), (9, 9), (10, 1), (10, 10)]
+
+
 def test_signature_pigeonhole():
     """Signatures under the distance threshold share a key."""
     import numpy as np
