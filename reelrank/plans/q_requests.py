@@ -274,7 +274,7 @@ def encode_history(spark, sf_dir):
 
 @query("hybrid_als_profile")
 def hybrid_als_profile(spark, sf_dir):
-    """M28-M30 as designed: for each cold user, blend (0.5 / 0.5) the ALS
+    """M28-M30 as designed: for each user of the test split and each cold user, blend (0.5 / 0.5) the ALS
     score (rating / 5) with a user-based score -- the cosine-weighted share
     of the 10 nearest profiles whose users rated the item >= 4 -- and keep
     the top 10 items the user has not rated. An item the profiles don't know
@@ -282,9 +282,9 @@ def hybrid_als_profile(spark, sf_dir):
     profiles know are all scored by ALS."""
     from reelrank.plans import als as A
     f = Frames(spark, sf_dir)
-    users = cold_users(f)
+    users = f.test.select("userId").union(cold_users(f)).distinct()
     model = A.fit_als(f.train, **A.DEFAULTS, cache_key=str(f.key))
-    req_prof = (SIM.genre_profile(f.test.join(users, "userId", "left_semi"), f.movies)
+    req_prof = (SIM.genre_profile(f.test, f.movies)
                    .withColumn("request_id", F.col("userId")).withColumnRenamed("userId", "req_user"))
     nb = SIM.cosine_neighbours(req_prof, SIM.genre_profile(f.train, f.movies), K,
                                exclude_self="req_user")

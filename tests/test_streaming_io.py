@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from reelrank.operators import sequences as S
 from reelrank.plans.frames import Frames
+from reelrank.plans.q_requests import cold_users
 from reelrank.plans.q_sequences import _requests, active_train, popularity
 from reelrank.session import scratch_path
 from reelrank.streaming.requests import start_next_item_stream
@@ -130,3 +131,11 @@ def test_hybrid_als_profile_properties(spark):
         assert (r.userId, r.movieId) not in rated
         per.setdefault(r.userId, []).append(r.rank)
     assert per and all(sorted(v) == list(range(1, len(v) + 1)) and len(v) <= 10 for v in per.values())
+
+
+def test_hybrid_als_profile_serves_every_test_user(spark):
+    import __spark_entry__ as E
+    f = Frames(spark, SF)
+    users = {r.userId for r in f.test.select("userId").union(cold_users(f)).distinct().collect()}
+    got = {r.userId for r in E.queries()["hybrid_als_profile"](spark, SF).select("userId").distinct().collect()}
+    assert got == users
