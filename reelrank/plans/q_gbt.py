@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 
+from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,10 +15,13 @@ from reelrank.operators import metrics as M
 from reelrank.operators import prep as P
 from reelrank.operators import rank as R
 from reelrank.plans import gbt as G
+from reelrank.plans import tuning as T
 from reelrank.plans.frames import Frames
 from reelrank.plans.q_requests import anonymous, cold_requests, exclusions, neighbours, request_batch, unknown
 from reelrank.plans.registry import K, query
 from reelrank.session import scratch_path
+from reelrank.sources import io as IO
+from reelrank.sources.runstore import RunStore
 
 _CACHE: dict[tuple, object] = {}
 
@@ -32,11 +37,26 @@ def feature_model(f: Frames) -> G.FeatureModel:
 
 
 def tuned(f: Frames):
-    """All trials, and the best one refitted on train + validation."""
+    """The best trial refitted on train + validation, and all trials;
+    kept as a version of the run store under a name made from the input and its
+    state, so other sessions that share the checkpoint folder load it."""
     def build():
-        fm = feature_model(f)
-        model, trials = G.tune_and_refit(fm.transform(f.temp("train")), fm.transform(f.temp("validation")), k=K)
-        return model, trials.persist()
+        store = RunStore(f.spark)
+        name = "gbt-" + hashlib.sha256(repr(f.key[1:]).encode()).hexdigest()[:16]
+        found = store.get(name)
+        if found is None:
+            fm = feature_model(f)
+            def log(row):
+                IO.log_run(f.spark, f"{store.root}/{name}/trials", f"trial-{row[0]}-{row[4]}",
+                           dict(max_depth=row[1], eta=row[2], num_round=row[3]),
+                           f.spark.createDataFrame([(row[5],)], "precision_at_k double"))
+            result = T.tune(fm.transform(f.temp("train")), fm.transform(f.temp("validation")), k=K, on_trial=log)
+
+            def write(folder: str) -> None:
+                result.model.write().save(f"{folder}/trees")
+                T.trials_table(f.spark, result.rows).coalesce(1).write.parquet(f"{folder}/trials")
+            found = store.publish(name, write, {"best_trial": result.best[0]})
+        return GBTClassificationModel.load(f"{found.path}/trees"), f.spark.read.parquet(f"{found.path}/trials")
     return _cached((*f.key, "gbt"), build)
 
 
@@ -67,8 +87,9 @@ def gbt_scored(spark, sf_dir):
 
 @query("gbt_tune")
 def gbt_tune(spark, sf_dir):
-    """Seeded random search over depth 3-10, eta 0.01-0.3, rounds
-    50-100, 10 trials; objective = mean precision@10 on validation."""
+    """Staged search over depth 3-10, eta 0.01-0.3, rounds 50-100, 10
+    trials (see ``tuning``); objective = mean precision@10 on validation, after
+    ``rounds_fitted`` rounds."""
     return tuned(Frames(spark, sf_dir))[1]
 
 
@@ -189,7 +210,6 @@ def model_roundtrip(spark, sf_dir):
     fm.save(f"{path}/features")
     model.write().overwrite().save(f"{path}/trees")
     fm2 = G.FeatureModel.load(spark, f"{path}/features")
-    from pyspark.ml.classification import GBTClassificationModel
     model2 = GBTClassificationModel.load(f"{path}/trees")
     a = G.score(model, fm.transform(f.temp("test"))).select("userId", "movieId", F.col("score").alias("a"))
     b = G.score(model2, fm2.transform(f.temp("test"))).select("userId", "movieId", F.col("score").alias("b"))

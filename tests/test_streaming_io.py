@@ -107,20 +107,6 @@ def test_catalogue_scoring_by_cells_matches_every_pair(spark):
     assert key(fast) == key(slow)
 
 
-def test_tune_and_refit_small(spark):
-    from reelrank.plans import gbt as G
-    from reelrank.plans import q_gbt
-    f = Frames(spark, SF)
-    fm = q_gbt.feature_model(f)
-    tr, va = fm.transform(f.temp("train")), fm.transform(f.temp("validation"))
-    params = [dict(max_depth=2, eta=0.3, num_round=3), dict(max_depth=3, eta=0.1, num_round=2)]
-    model, table = G.tune_and_refit(tr, va, params=params)
-    assert table.count() == 2
-    best = table.first()
-    assert model.getMaxDepth() == best["max_depth"] and model.getMaxIter() == best["num_round"]
-    assert G.score(model, fm.transform(f.temp("test"))).count() > 0
-
-
 def test_hybrid_als_profile_properties(spark):
     import __spark_entry__ as E
     out = E.queries()["hybrid_als_profile"](spark, SF).collect()
