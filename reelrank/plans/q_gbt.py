@@ -38,16 +38,18 @@ def feature_model(f: Frames) -> G.FeatureModel:
 
 def tuned(f: Frames):
     """The best trial refitted on train + validation, and all trials;
-    kept as a version of the run store under a name made from the input and its
-    state, so other sessions that share the checkpoint folder load it."""
+    kept as a version of the run store under a name made from the input, its
+    state and the recipe, so other sessions that share the checkpoint folder
+    load it."""
     def build():
         store = RunStore(f.spark)
-        name = "gbt-" + hashlib.sha256(repr(f.key[1:]).encode()).hexdigest()[:16]
+        name = "gbt-" + hashlib.sha256(repr((*f.key[1:], T.RECIPE)).encode()).hexdigest()[:16]
         found = store.get(name)
         if found is None:
             fm = feature_model(f)
             def log(row):
-                IO.log_run(f.spark, f"{store.root}/{name}/trials", f"trial-{row[0]}-{row[4]}",
+                # a folder each: trials end at the same time
+                IO.log_run(f.spark, f"{store.root}/{name}/trials/{uuid.uuid4().hex}", f"trial-{row[0]}-{row[4]}",
                            dict(max_depth=row[1], eta=row[2], num_round=row[3]),
                            f.spark.createDataFrame([(row[5],)], "precision_at_k double"))
             result = T.tune(fm.transform(f.temp("train")), fm.transform(f.temp("validation")), k=K, on_trial=log)
