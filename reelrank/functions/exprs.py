@@ -28,15 +28,11 @@ def binary_label(rating: str | Column, threshold: float = 4.0) -> Column:
     return F.when(col(rating) >= threshold, F.lit(1)).otherwise(F.lit(0))
 
 
-def dcg(labels: str | Column) -> Column:
-    """sum(rel_i / log2(i + 2)) over a 0-based ranked array."""
-    terms = F.transform(col(labels), lambda x, i: x.cast("double") / F.log2(i + 2))
-    return F.aggregate(terms, F.lit(0.0), lambda acc, y: acc + y)
-
-
-def ideal_dcg(labels: str | Column) -> Column:
-    """DCG of the same labels sorted descending."""
-    return dcg(F.sort_array(col(labels), asc=False))
+def ideal_gain(hits: str | Column) -> Column:
+    """discounted gain of that many hits at ranks 1, 2, ...; 0 for none."""
+    n = F.coalesce(col(hits), F.lit(0)).cast("int")
+    ranks = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+    return F.aggregate(ranks, F.lit(0.0), lambda total, r: total + 1 / F.log2(r + 1))
 
 
 def ideal_dcg_of_ones(n: int) -> float:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelrank.functions.exprs import dcg, ideal_dcg, ideal_dcg_of_ones, ratio, round6
+from reelrank.functions.exprs import ideal_dcg_of_ones, ideal_gain, ratio, round6
 
 
 # ---------------------------------------------------------------- set family
@@ -53,63 +53,42 @@ def set_precision_recall(recs: DataFrame, truth: DataFrame, k: int = 10,
 
 # -------------------------------------------------------------- label family
 
-def label_precision_per_user(topk: DataFrame, user: str = "userId",
-                             label: str = "label") -> DataFrame:
-    """True positives, list size and precision per user."""
-    return (topk.groupBy(user)
-                .agg(F.sum(label).cast("bigint").alias("true_positives"),
-                     F.count(label).alias("recommended_count"))
-                .withColumn("precision_at_k", ratio("true_positives", "recommended_count")))
-
-
-def label_recall_per_user(topk: DataFrame, scored: DataFrame, user: str = "userId",
-                          label: str = "label") -> DataFrame:
-    """Positives in the top-k over positives among *all* scored rows
-    (before the seen filter); NULL when the user has no positive."""
-    tp = topk.groupBy(user).agg(F.sum(label).cast("bigint").alias("true_positives"))
-    total = scored.groupBy(user).agg(F.sum(label).cast("bigint").alias("total_relevant"))
-    return (tp.join(total, user)
-              .withColumn("recall_at_k", ratio("true_positives", "total_relevant")))
-
-
-def label_lists(topk: DataFrame, user: str = "userId", rank: str = "rank",
-                label: str = "label") -> DataFrame:
+def label_outcomes(ranked: DataFrame, scored: DataFrame | None = None, user: str = "userId", rank: str = "rank",
+                   label: str = "label") -> DataFrame:
+    """What each user's ranked list achieved, from one
+    aggregation of sums (no list is built, so partial sums meet in the shuffle).
+
+    ``hits`` of ``shown`` entries are positive; ``gain`` discounts every hit by
+    its rank; ``best_gain`` is what as many hits at the top would gain. With
+    ``scored`` also ``relevant``, the positives among *all* scored rows (before
+    the seen filter), null for a user without any scored row. Ratios:
+    ``precision_at_k``, ``recall_at_k``, ``ndcg_at_k``; null where there is
+    nothing to divide by, so means leave them out."""
+    won = F.col(label).cast("bigint")
+    per = ranked.groupBy(user).agg(F.sum(won).alias("hits"), F.count(label).alias("shown"),
+                                   F.sum(won / F.log2(F.col(rank) + 1)).alias("gain"))
+    per = per.withColumn("best_gain", ideal_gain("hits"))
+    per = (per.withColumn("precision_at_k", ratio("hits", "shown"))
+              .withColumn("ndcg_at_k", ratio("gain", "best_gain")))
+    if scored is None:
+        return per
+    per = per.join(scored.groupBy(user).agg(F.sum(won).alias("relevant")), user, "left")
+    return per.withColumn("recall_at_k", ratio("hits", "relevant"))
+
+
+def label_lists(ranked: DataFrame, user: str = "userId", rank: str = "rank", label: str = "label") -> DataFrame:
     """Labels per user in rank order. Sorting happens inside the array
     (sort-then-collect is not order-safe after a shuffle); length <= k."""
-    return (topk.groupBy(user)
-                .agg(F.array_sort(F.collect_list(F.struct(rank, label))).alias("_p"))
-                .select(user, F.transform("_p", lambda s: s[label]).alias("label_list")))
-
-
-def ndcg_per_user(topk: DataFrame, user: str = "userId", rank: str = "rank",
-                  label: str = "label") -> DataFrame:
-    """M14 nDCG: dcg over the ranked labels, idcg over the same labels sorted;
-    NULL when the list holds no positive (skipped by the mean)."""
-    lists = label_lists(topk, user, rank, label)
-    return (lists.withColumn("dcg", dcg("label_list"))
-                 .withColumn("idcg", ideal_dcg("label_list"))
-                 .withColumn("ndcg_at_k", ratio("dcg", "idcg")))
+    entries = F.array_sort(F.collect_list(F.struct(rank, label)))
+    return ranked.groupBy(user).agg(entries.getField(label).alias("labels"))
 
 
-def label_metrics(topk: DataFrame, scored: DataFrame, k: int = 10, user: str = "userId",
+def label_metrics(ranked: DataFrame, scored: DataFrame, k: int = 10, user: str = "userId",
                   rank: str = "rank", label: str = "label") -> DataFrame:
-    """One row with precision@k, recall@k and nDCG@k (label family).
-
-    One aggregation over the top-k gives each user's positives, list size
-    and rank-ordered labels (at most k); one more over all scored rows gives
-    the recall denominator. Users are those with top-k rows; NULL recall /
-    nDCG (no positive) are skipped by the means."""
-    per = (topk.groupBy(user)
-               .agg(F.sum(label).cast("bigint").alias("_tp"), F.count(label).alias("_n"),
-                    F.array_sort(F.collect_list(F.struct(rank, label))).alias("_p"))
-               .withColumn("_labels", F.transform("_p", lambda s: s[label])))
-    total = scored.groupBy(user).agg(F.sum(label).cast("bigint").alias("_rel"))
-    per = (per.join(total, user, "left")
-              .select(ratio("_tp", "_n").alias("p"), ratio("_tp", "_rel").alias("r"),
-                      ratio(dcg("_labels"), ideal_dcg("_labels")).alias("n")))
-    return per.agg(round6(F.avg("p")).alias(f"precision_at_{k}"),
-                   round6(F.avg("r")).alias(f"recall_at_{k}"),
-                   round6(F.avg("n")).alias(f"ndcg_at_{k}"))
+    """One row with precision@k, recall@k and nDCG@k (label family), the
+    means of ``label_outcomes``."""
+    per = label_outcomes(ranked, scored, user, rank, label)
+    return per.agg(*[round6(F.avg(f"{m}_at_k")).alias(f"{m}_at_{k}") for m in ("precision", "recall", "ndcg")])
 
 
 def mean_label_precision(topk: DataFrame, user: str = "userId", label: str = "label") -> DataFrame:

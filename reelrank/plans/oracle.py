@@ -129,19 +129,18 @@ oracle("top_overall", """
 SELECT movieId, score FROM item_score ORDER BY score DESC, movieId LIMIT 10""")
 
 oracle("label_precision", """
-SELECT userId, CAST(sum(label) AS BIGINT) AS true_positives, count(label) AS recommended_count,
+SELECT userId, CAST(sum(label) AS BIGINT) AS hits, count(label) AS shown,
        round(sum(label) / count(label), 6) AS precision_at_k
 FROM topk GROUP BY userId""")
 
 oracle("label_recall", """
-WITH tp AS (SELECT userId, CAST(sum(label) AS BIGINT) AS true_positives FROM topk GROUP BY userId),
-tot AS (SELECT userId, CAST(sum(label) AS BIGINT) AS total_relevant FROM scored_test GROUP BY userId)
-SELECT tp.userId, true_positives, total_relevant,
-       round(true_positives / NULLIF(total_relevant, 0), 6) AS recall_at_k
-FROM tp JOIN tot ON tp.userId = tot.userId""")
+SELECT k.userId, k.hits, s.relevant, round(k.hits / NULLIF(s.relevant, 0), 6) AS recall_at_k
+FROM (SELECT userId, CAST(sum(label) AS BIGINT) AS hits FROM topk GROUP BY userId) k
+LEFT JOIN (SELECT userId, CAST(sum(label) AS BIGINT) AS relevant FROM scored_test GROUP BY userId) s
+  ON k.userId = s.userId""")
 
 oracle("label_lists", """
-SELECT userId, string_agg(CAST(label AS VARCHAR), ',' ORDER BY rank) AS label_list
+SELECT userId, string_agg(CAST(label AS VARCHAR), ',' ORDER BY rank) AS labels
 FROM topk GROUP BY userId""")
 
 _NDCG = """
@@ -157,7 +156,7 @@ per AS (
 """
 
 oracle("ndcg_at_k", _NDCG + """
-SELECT userId, round(dcg, 6) AS dcg, round(idcg, 6) AS idcg, round(ndcg, 6) AS ndcg_at_k FROM per""")
+SELECT userId, round(dcg, 6) AS gain, round(idcg, 6) AS best_gain, round(ndcg, 6) AS ndcg_at_k FROM per""")
 
 oracle("mean_label_precision", """
 SELECT coalesce(round(avg(p), 6), 0.0) AS precision_at_k
@@ -264,11 +263,18 @@ SELECT 'item' AS kind, movieId AS id, idx FROM imap
 UNION ALL
 SELECT 'user' AS kind, userId AS id, row_number() OVER (ORDER BY userId) - 1 AS idx
 FROM (SELECT DISTINCT userId FROM active) u""")
-seq_oracle("encode_ids", """
-WITH umap AS (SELECT userId, row_number() OVER (ORDER BY userId) - 1 AS uidx
-              FROM (SELECT DISTINCT userId FROM active) u)
-SELECT t.userId, t.movieId, coalesce(i.idx, -1) + 1 AS item_idx, coalesce(u.uidx, -1) AS user_idx
-FROM testpos t LEFT JOIN imap i ON t.movieId = i.movieId LEFT JOIN umap u ON t.userId = u.userId""")
+# every table is used more than once, so each is made once; nothing else of the derivation is restated
+ORACLE["encode_ids"] = BASE[:BASE.index("train AS (")].replace("ratings AS (", "ratings AS MATERIALIZED (") + """
+kept AS MATERIALIZED (SELECT userId, movieId, split FROM ratings WHERE rating >= 4),
+umap AS MATERIALIZED (
+  SELECT userId, row_number() OVER (ORDER BY userId) - 1 AS uidx
+  FROM (SELECT userId FROM kept WHERE split <> 'test' GROUP BY userId HAVING count(*) >= 4) u),
+imap AS MATERIALIZED (
+  SELECT movieId, row_number() OVER (ORDER BY movieId) - 1 AS idx
+  FROM (SELECT DISTINCT CAST(p_partkey AS INT) AS movieId FROM part) m)
+SELECT t.userId, t.movieId, CAST(coalesce(i.idx, -1) + 1 AS INT) AS item_idx, CAST(coalesce(u.uidx, -1) AS INT) AS user_idx
+FROM (SELECT userId, movieId FROM kept WHERE split = 'test') t
+LEFT JOIN imap i ON t.movieId = i.movieId LEFT JOIN umap u ON t.userId = u.userId"""
 seq_oracle("user_sequences", "SELECT userId, pos, movieId FROM aseq")
 seq_oracle("leave_one_out", "SELECT userId, n - 1 AS n_train, movieId AS valid_item FROM aseq WHERE pos = n")
 seq_oracle("last_n_holdout", """

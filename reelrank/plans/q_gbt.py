@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from reelrank.operators import candidates as C
 from reelrank.operators import metrics as M
-from reelrank.operators import prep as P
 from reelrank.operators import rank as R
 from reelrank.plans import gbt as G
 from reelrank.plans import tuning as T
@@ -105,11 +104,9 @@ def _gbt_topk(f: Frames) -> DataFrame:
 def gbt_recommendations(spark, sf_dir):
     """M12 with model scores: per-user unseen top-10 with titles."""
     f = Frames(spark, sf_dir)
-    top = _gbt_topk(f)
-    meta = P.item_meta(f.train_items())
-    out = top.join(meta, top["movieId"] == meta["movieId_meta"], "left")
-    return out.select("userId", "rank", "movieId", F.col("title_meta").alias("title"),
-                      F.col("score").alias("predicted_rating"))
+    titles = f.train_items().select("movieId", "title")
+    return _gbt_topk(f).drop("title").join(titles, "movieId", "left").select(
+        "userId", "rank", "movieId", "title", F.col("score").alias("predicted_rating"))
 
 
 @query("gbt_topk_checks")

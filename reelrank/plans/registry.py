@@ -133,14 +133,11 @@ def top_k(spark, sf_dir):
 
 @query("topk_with_title")
 def topk_with_title(spark, sf_dir):
-    """Per-user unseen top-10 with titles."""
+    """Per-user unseen top-10 with titles (J2/J3); ``rank`` carries the order."""
     f = Frames(spark, sf_dir)
-    meta = P.item_meta(f.train_items())
-    top = _topk(f)
-    out = top.join(meta, top["movieId"] == meta["movieId_meta"], "left")
-    return (out.select("userId", "rank", "movieId", F.col("title_meta").alias("title"),
-                       F.col("score").alias("predicted_rating"))
-               .orderBy("userId", F.col("predicted_rating").desc(), "movieId"))
+    titles = f.train_items().select("movieId", "title")
+    return _topk(f).join(titles, "movieId", "left").select(
+        "userId", "rank", "movieId", "title", F.col("score").alias("predicted_rating"))
 
 
 @query("top_n_per_user")
@@ -167,34 +164,34 @@ def top_overall(spark, sf_dir):
 
 # ------------------------------------------------------------- label family
 
+def _outcomes(f: Frames) -> DataFrame:
+    return M.label_outcomes(_topk(f), f.scored_test())
+
+
 @query("label_precision")
 def label_precision(spark, sf_dir):
-    """Per-user true positives, list size, precision@10."""
-    per = M.label_precision_per_user(_topk(Frames(spark, sf_dir)))
-    return per.withColumn("precision_at_k", round6("precision_at_k"))
+    """Per-user hits, list size, precision@10."""
+    return M.label_outcomes(_topk(Frames(spark, sf_dir))).select(
+        "userId", "hits", "shown", round6("precision_at_k").alias("precision_at_k"))
 
 
 @query("label_recall")
 def label_recall(spark, sf_dir):
     """Per-user recall@10 against all scored test rows."""
-    f = Frames(spark, sf_dir)
-    per = M.label_recall_per_user(_topk(f), f.scored_test())
-    return per.withColumn("recall_at_k", round6("recall_at_k"))
+    return _outcomes(Frames(spark, sf_dir)).select("userId", "hits", "relevant", round6("recall_at_k").alias("recall_at_k"))
 
 
 @query("label_lists")
 def label_lists(spark, sf_dir):
     """Labels per user in rank order."""
-    out = M.label_lists(_topk(Frames(spark, sf_dir)))
-    return out.select("userId", csv_ints("label_list").alias("label_list"))
+    return M.label_lists(_topk(Frames(spark, sf_dir))).select("userId", csv_ints("labels").alias("labels"))
 
 
 @query("ndcg_at_k")
 def ndcg_at_k(spark, sf_dir):
-    """Per-user dcg, idcg, nDCG@10 (NULL without positives)."""
-    out = M.ndcg_per_user(_topk(Frames(spark, sf_dir)))
-    return out.select("userId", round6("dcg").alias("dcg"), round6("idcg").alias("idcg"),
-                      round6("ndcg_at_k").alias("ndcg_at_k"))
+    """Per-user gain, best possible gain, nDCG@10 (NULL without positives)."""
+    return M.label_outcomes(_topk(Frames(spark, sf_dir))).select(
+        "userId", *[round6(c).alias(c) for c in ("gain", "best_gain", "ndcg_at_k")])
 
 
 @query("mean_label_precision")

@@ -27,20 +27,18 @@ def test_set_metric(spark):
 
 def test_label_metric(spark):
     topk = spark.createDataFrame([(1, 1, 1), (1, 2, 0), (1, 3, 1)], "userId int, rank int, label int")
-    n = M.ndcg_per_user(topk).first()
-    assert abs(n.dcg - 1.5) < 1e-9
-    assert abs(n.idcg - 1.630930) < 1e-6
-    assert abs(n.ndcg_at_k - 0.919721) < 1e-6
-    p = M.label_precision_per_user(topk).first()
-    assert abs(p.precision_at_k - 2 / 3) < 1e-12
+    r = M.label_outcomes(topk, topk).first()
+    assert abs(r.gain - 1.5) < 1e-9
+    assert abs(r.best_gain - 1.630930) < 1e-6
+    assert abs(r.ndcg_at_k - 0.919721) < 1e-6
+    assert abs(r.precision_at_k - 2 / 3) < 1e-12 and r.recall_at_k == 1
+    assert M.label_lists(topk).first().labels == [1, 0, 1]
 
 
 def test_label_metric_no_positive(spark):
     topk = spark.createDataFrame([(1, 1, 0), (1, 2, 0)], "userId int, rank int, label int")
-    r = M.label_recall_per_user(topk, topk).first()
-    assert r.recall_at_k is None
-    assert M.ndcg_per_user(topk).first().ndcg_at_k is None
-    assert M.label_precision_per_user(topk).first().precision_at_k == 0.0
+    r = M.label_outcomes(topk, topk).first()
+    assert r.recall_at_k is None and r.ndcg_at_k is None and r.precision_at_k == 0.0
 
 
 def test_sampled_metric(spark):
