@@ -120,7 +120,8 @@ def hashed_words(texts: Sequence[str | None], white: np.ndarray = WHITE, fold: n
         for part in _cuts(data, white):
             if len(part) > 2 * CHUNK:  # a single word
                 words.append(np.array([_digest(part if fold is None else fold[np.frombuffer(part, np.uint8)].tobytes())], np.uint64))
-                leading.append([np.zeros(1, np.uint64) for _ in prefixes])
+                head = np.frombuffer(part[:max(prefixes, default=0) + 1], np.uint8)
+                leading.append(_chunk(head if fold is None else fold[head], white, prefixes)[2])
                 continue
             buf = np.frombuffer(part, np.uint8)
             _, w, p = _chunk(buf if fold is None else fold[buf], white, prefixes)
