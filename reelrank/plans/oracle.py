@@ -616,6 +616,10 @@ SELECT count(*) FILTER (WHERE n > 0) AS users, CAST(sum(n) AS BIGINT) AS rows, C
        CAST(0 AS BIGINT) AS repeated_pairs, CAST(0 AS BIGINT) AS wrong_ranks, CAST(0 AS BIGINT) AS wrong_order
 FROM want""")
 
+oracle("explain_row_checks", """
+SELECT count(DISTINCT s.userId) AS users, CAST(0 AS BIGINT) AS incomplete, CAST(0 AS BIGINT) AS not_additive
+FROM test s WHERE NOT EXISTS (SELECT 1 FROM seen x WHERE x.userId = s.userId AND x.movieId = s.movieId)""")
+
 oracle("gbt_topk_checks", """
 WITH cand AS (
   SELECT s.userId, s.movieId FROM test s

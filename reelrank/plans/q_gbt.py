@@ -6,7 +6,7 @@ import hashlib
 import uuid
 
 from pyspark.ml.classification import GBTClassificationModel
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -160,44 +160,67 @@ def recommend_requests(spark, sf_dir):
     return _with_title(f, top).select("request_id", "rank", "movieId", "title", "score")
 
 
+def _effects(f: Frames, rows: DataFrame, pairs: int) -> DataFrame:
+    """Additive effects against the mean row of the test split."""
+    fm = feature_model(f)
+    means = G.feature_means(fm.transform(f.temp("test")), len(fm.feature_names()))
+    return G.shapley_effects(final_model(f), rows, means, ["userId", "movieId"], pairs)
+
+
 @query("attribution_summary")
 def attribution_summary(spark, sf_dir):
-    """Tree importances and permutation importance (mean |score
-    change| when a feature takes another row's value) over every scored test
-    row; ranked."""
+    """Tree importances and the mean |effect| of every feature
+    (Shapley values by sampled orders) over every scored test row; ranked."""
     f = Frames(spark, sf_dir)
     fm = feature_model(f)
-    model = final_model(f)
     names = fm.feature_names()
-    effects = G.permutation_effects(model, fm.transform(f.temp("test")), len(names), ["userId", "movieId"])
-    imp = model.featureImportances.toArray().tolist()
+    imp = final_model(f).featureImportances.toArray().tolist()
     table = spark.createDataFrame([(i, n, float(imp[i])) for i, n in enumerate(names)],
                                   "fidx int, feature string, importance double")
+    effects = _effects(f, fm.transform(f.temp("test")), pairs=1)
     summary = effects.groupBy("fidx").agg(F.avg(F.abs("effect")).alias("mean_abs_effect"))
     return (table.join(summary, "fidx", "left").drop("fidx")
                  .orderBy(F.col("mean_abs_effect").desc_nulls_last(), "feature"))
 
 
+def _explained(f: Frames) -> tuple[DataFrame, DataFrame]:
+    """Every user's first recommendation, with features and with effects."""
+    target = _gbt_topk(f).filter(F.col("rank") == 1).select("userId", "movieId")
+    rows = feature_model(f).transform(f.temp("test")).join(target, ["userId", "movieId"])
+    return rows, _effects(f, rows, pairs=4)
+
+
 @query("explain_row")
 def explain_row(spark, sf_dir):
     """Every user's first recommendation, explained by the 10
-    largest |score changes| when a feature is set to its mean."""
+    largest of its features' additive effects on the score."""
     f = Frames(spark, sf_dir)
-    fm = feature_model(f)
-    model = final_model(f)
-    names = fm.feature_names()
-    target = _gbt_topk(f).filter(F.col("rank") == 1).select("userId", "movieId")
-    test_f = fm.transform(f.temp("test"))
-    rows = test_f.join(target, ["userId", "movieId"])
-    effects = G.occlusion_effects(model, rows, G.feature_means(test_f, len(names)), ["userId", "movieId"])
-    name_col = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("fidx") + 1)
-    value = F.element_at(vector_to_array("features"), F.col("fidx") + 1)
-    detail = effects.join(rows.select("userId", "movieId", "features"), ["userId", "movieId"])
-    out = detail.select("userId", "movieId", name_col.alias("feature"), value.alias("value"), "effect",
-                        F.abs("effect").alias("size"))
+    rows, effects = _explained(f)
+    names = F.array(*[F.lit(n) for n in feature_model(f).feature_names()])
+    detail = effects.join(rows.select("userId", "movieId", vector_to_array("features").alias("x")), ["userId", "movieId"])
+    out = detail.select("userId", "movieId", F.element_at(names, F.col("fidx") + 1).alias("feature"),
+                        F.element_at("x", F.col("fidx") + 1).alias("value"), "effect", F.abs("effect").alias("size"))
     return R.top_k(out, 10, "userId", "size", "feature").drop("size")
 
 
+@query("explain_row_checks")
+def explain_row_checks(spark, sf_dir):
+    """Properties of the explanations: one for every user of the test split
+    with an unseen row, of all features, adding up to the row's score minus the
+    mean row's (``not_additive`` counts rows that don't)."""
+    f = Frames(spark, sf_dir)
+    rows, effects = _explained(f)
+    names = feature_model(f).feature_names()
+    means = G.feature_means(feature_model(f).transform(f.temp("test")), len(names))
+    mean_row = spark.range(1).select(array_to_vector(F.array(*[F.lit(m) for m in means])).alias("features"))
+    base = G.score(final_model(f), mean_row, "base").select("base")  # one row
+    sums = effects.groupBy("userId", "movieId").agg(F.sum("effect").alias("total"), F.count(F.lit(1)).alias("n"))
+    both = sums.join(G.score(final_model(f), rows).select("userId", "movieId", "score"), ["userId", "movieId"]).join(F.broadcast(base))
+    return both.agg(F.count(F.lit(1)).alias("users"),
+                    F.sum((F.col("n") != len(names)).cast("bigint")).alias("incomplete"),
+                    F.sum((F.abs(F.col("total") - (F.col("score") - F.col("base"))) > 1e-9).cast("bigint")).alias("not_additive"))
+
+
 @query("model_roundtrip")
 def model_roundtrip(spark, sf_dir):
     """Save the feature model and trees under the checkpoint folder,
