@@ -81,7 +81,8 @@ def overfetch(model: ALSModel, users: DataFrame, fetch: int = FETCH, keep: int =
 
 
 def recommend_unseen(model: ALSModel, users: DataFrame, seen: DataFrame, k: int = 10,
-                     user: str = "userId", item: str = "movieId", block: int = 4096) -> DataFrame:
+                     user: str = "userId", item: str = "movieId", block: int = 4096,
+                     user_factors: DataFrame | None = None) -> DataFrame:
     """Exact per-user top-k among items the user has not seen.
 
     User and item factors are cut into blocks by hash of their id. Each pair
@@ -89,16 +90,18 @@ def recommend_unseen(model: ALSModel, users: DataFrame, seen: DataFrame, k: int
     scores are one matrix product, seen pairs are taken out before anything is
     ranked, and k items a user leave the group. A user with a long history
     only adds its seen pairs, spread over the item blocks. Users or items the
-    model does not know get no recommendations. Returns (user, rank, item,
+    model does not know get no recommendations. ``user_factors`` (id,
+    features) takes the place of the model's own. Returns (user, rank, item,
     rating).
     """
-    n_users, n_items = model.userFactors.count(), model.itemFactors.count()      # two scalars
+    user_factors = model.userFactors if user_factors is None else user_factors
+    n_users, n_items = user_factors.count(), model.itemFactors.count()      # two scalars
     u_blocks, i_blocks = -(-n_users // block) or 1, -(-n_items // block) or 1
 
     def cut(col: str, n: int):
         return F.pmod(F.xxhash64(F.col(col).cast("int")), F.lit(n)).cast("int")
 
-    asked = model.userFactors.join(users.select(F.col(user).alias("id")).distinct(), "id", "left_semi")
+    asked = user_factors.join(users.select(F.col(user).alias("id")).distinct(), "id", "left_semi")
     none = F.lit(None).cast("int")
     factors = (asked.withColumn("_ub", cut("id", u_blocks))
                .withColumn("_ib", F.explode(F.sequence(F.lit(0), F.lit(i_blocks - 1))))

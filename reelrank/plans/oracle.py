@@ -559,6 +559,27 @@ FROM creq c LEFT JOIN lk ON c.movieId = lk.movieId LEFT JOIN details d ON d.tmdb
 req_oracle("search_titles", """
 SELECT movieId, title FROM movies WHERE contains(lower(title), 'red') ORDER BY title, movieId LIMIT 10""")
 
+oracle("search_titles_ranked", """
+WITH padded AS (
+  SELECT movieId, title, ' ' || trim(regexp_replace(lower(title), '\\s+', ' ', 'g')) || ' ' AS t FROM movies),
+tf AS (
+  SELECT movieId, gram, dl, count(*) AS tf
+  FROM (SELECT movieId, length(t) - 2 AS dl, unnest(list_transform(range(1, length(t) - 1), lambda i: substr(t, i, 3))) AS gram
+        FROM padded) x GROUP BY movieId, gram, dl),
+size AS (SELECT count(*) AS n, avg(length(t) - 2) AS mean FROM padded),
+df AS (SELECT gram, count(*) AS df FROM tf GROUP BY gram),
+post AS (
+  SELECT movieId, tf.gram, ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / mean)) AS w
+  FROM tf JOIN df ON tf.gram = df.gram CROSS JOIN size),
+asked AS (
+  SELECT DISTINCT text, unnest(list_transform(range(1, length(p) - 1), lambda i: substr(p, i, 3))) AS gram
+  FROM (SELECT DISTINCT p_name AS text, ' ' || lower(p_name) || ' ' AS p FROM part) y)
+SELECT text, rank, s.movieId, m.title, score
+FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY score DESC, movieId) AS rank
+      FROM (SELECT text, movieId, round(sum(w), 6) AS score
+            FROM asked JOIN post ON asked.gram = post.gram GROUP BY text, movieId) a) s
+JOIN movies m ON s.movieId = m.movieId WHERE rank <= 10""")
+
 oracle("parse_histories", """
 WITH b AS (
   SELECT l_orderkey AS request_id, CAST((l_linenumber - 1) // 1000 AS INTEGER) AS chunk,
@@ -616,6 +637,17 @@ SELECT count(*) FILTER (WHERE n > 0) AS users, CAST(sum(n) AS BIGINT) AS rows, C
        CAST(0 AS BIGINT) AS repeated_pairs, CAST(0 AS BIGINT) AS wrong_ranks, CAST(0 AS BIGINT) AS wrong_order
 FROM want""")
 
+oracle("als_foldin_checks", """
+WITH cat AS (SELECT DISTINCT movieId FROM train),
+want AS (
+  SELECT userId, least(10, (SELECT count(*) FROM cat) - count(DISTINCT movieId)) AS n
+  FROM test WHERE movieId IN (SELECT movieId FROM cat) GROUP BY userId)
+SELECT count(*) FILTER (WHERE n > 0) AS users, CAST(sum(n) AS BIGINT) AS rows, CAST(0 AS BIGINT) AS seen_pairs,
+       CAST(0 AS BIGINT) AS repeated_pairs, CAST(0 AS BIGINT) AS wrong_ranks, CAST(0 AS BIGINT) AS wrong_order
+FROM want""")
+
+oracle("als_foldin_known", "SELECT count(DISTINCT userId) AS users, CAST(0 AS BIGINT) AS differing FROM train")
+
 oracle("explain_row_checks", """
 SELECT count(DISTINCT s.userId) AS users, CAST(0 AS BIGINT) AS incomplete, CAST(0 AS BIGINT) AS not_additive
 FROM test s WHERE NOT EXISTS (SELECT 1 FROM seen x WHERE x.userId = s.userId AND x.movieId = s.movieId)""")

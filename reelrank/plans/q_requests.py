@@ -11,6 +11,7 @@ from reelrank.operators import enrich as E
 from reelrank.operators import prep as P
 from reelrank.operators import sequences as S
 from reelrank.operators import similarity as SIM
+from reelrank.operators import title_search as TS
 from reelrank.operators.hybrid import hybrid as blend
 from reelrank.operators.ordinal import with_ordinal
 from reelrank.operators.rank import top_k_excluding
@@ -224,6 +225,17 @@ def search_titles(spark, sf_dir):
     return E.search_titles(Frames(spark, sf_dir).movies, SEARCH_TEXT, 10)
 
 
+@query("search_titles_ranked")
+def search_titles_ranked(spark, sf_dir):
+    """T7 for a table of searches: the 10 best titles, by BM25 over trigrams,
+    for every distinct item name."""
+    f = Frames(spark, sf_dir)
+    names = read_table(spark, sf_dir, "part").select(F.col("p_name").alias("text")).distinct()
+    best = TS.search(TS.build_index(f.movies), names, K, search_id="text")
+    return best.join(f.movies.select("movieId", "title"), F.col("item") == F.col("movieId")).select(
+        F.col("search").alias("text"), "rank", "movieId", "title", "score")
+
+
 @query("parse_histories")
 def parse_histories(spark, sf_dir):
     """Each order's part keys as a typed-in id list (line order,
