@@ -115,6 +115,29 @@ def test_large_keys_are_compared_in_blocks(docs_of, monkeypatch):
     assert len(set(want.values())) > 5 and got == want
 
 
+def test_a_stray_does_not_copy_its_cluster(spark):
+    """20,000 linked members go to one block each for a stray among them; all
+    pairs of a stray meet, and a cluster of one label is not sent at all."""
+    nodes = spark.range(20_001).selectExpr("id AS rep", "IF(id = 777, 1, 0) AS label", "5L AS cluster")
+    cells = minhash._cells(nodes)
+    blocks = -(-20_000 // minhash.BLOCK)
+    assert cells.count() == 20_000 + blocks + 1
+    assert cells.groupBy("cluster", "i", "j").count().agg({"count": "max"}).first()[0] < 2 * minhash.BLOCK
+    assert minhash._cells(nodes.filter("label = 0")).count() == 0
+
+
+def test_all_pairs_with_a_stray_share_a_cell(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK", 4)
+    rng = random.Random(2)
+    members = [(i, rng.choice([0, 0, 0, 1, 2, 3]), i % 2) for i in range(90)]
+    cells = {}
+    for r in minhash._cells(spark.createDataFrame(members, "rep long, label int, cluster long")).collect():
+        cells.setdefault((r.cluster, r.i, r.j), set()).add(r.rep)
+    met = {p for c in cells.values() for p in itertools.combinations(sorted(c), 2)}
+    for (a, x, c), (b, y, d) in itertools.combinations(members, 2):
+        assert c != d or x == y or (a, b) in met
+
+
 def test_near_null_and_repeated_ids(docs_of):
     text = " ".join(f"w{i}" for i in range(50))
     pairs = [(3, text), (3, text), (None, text), (1, text + " tail"), (3, "another text of seven words as such")]
