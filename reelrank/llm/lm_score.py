@@ -3,10 +3,12 @@
 Documents are dealt into batches of a few megabytes. A batch's n-grams of all
 orders are exploded, counted, and cut by ranges of their hash; a row of the
 exploded table holds the sorted n-grams of one batch in one range, as packed
-arrays. All rows of a range meet in one group, the count table of that range,
-which is joined to each batch's n-grams and sent back to the batch; there the
-scores of the words are summed per document. Text, n-grams and counts move in
-three shuffles; nothing of them passes through the driver.
+arrays. A batch has rows only for ranges it has n-grams in, so the table never
+has more rows than n-grams. All rows of a range meet in one group, the count
+table of that range, which is joined to each batch's n-grams and sent back to
+the batch; there the scores of the words are summed per document. Text, n-grams
+and counts move in three shuffles, compressed; nothing of them passes through
+the driver.
 
 A document is scored by the counts of all other documents (its own
 occurrences are taken off), else no n-gram would be unseen and the model would
@@ -16,6 +18,7 @@ never back off.
 from __future__ import annotations
 
 import math
+import zlib
 
 import numpy as np
 import pandas as pd
@@ -25,18 +28,18 @@ from pyspark.sql import functions as F
 from reelrank.llm.wordhash import hashed_words, mix
 
 _U = np.uint64
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 8 << 20
 RANGE_BYTES = 8 << 20
-HASH_BITS = 64
 
 
 def _pack(x: np.ndarray) -> bytes:
-    """Integers as planes of equal bytes; planes of zeros cost next to nothing
-    in a compressed shuffle."""
-    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
+    """Integers as planes of equal bytes, compressed: planes of zeros cost next
+    to nothing, and the highest other one less than a byte."""
+    return zlib.compress(np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
 
 
 def _unpack(data: bytes) -> np.ndarray:
+    data = zlib.decompress(data)
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view("<u8").ravel()
 
 
@@ -67,24 +70,30 @@ class _Grams:
         self.ends = np.array(ends)
         self.doc = np.repeat(np.arange(len(ends) - 1), np.diff(self.ends))
         self.nth = np.arange(len(w)) - self.ends[self.doc]
-        hashes, rolled = [], mix(w + _U(1))
+        keys, counts, where, rolled = [], [], [], mix(w + _U(1))
         for k in range(order):
             if k:
                 rolled = mix(np.concatenate(([0], rolled[:-1])).astype(np.uint64) * _U(0xD6E8FEB86659FD93) + w + _U(k + 1))
-            hashes.append(rolled[self.nth >= k])
-        self.keys, where, self.count = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
-        self.place, at = [], 0
+            found, at, count = np.unique(rolled[self.nth >= k], return_inverse=True, return_counts=True)
+            where.append((at + sum(map(len, keys))).astype(np.int32))
+            keys.append(found)
+            counts.append(count)
+        keys = np.concatenate(keys)
+        by_hash = np.argsort(keys, kind="stable")
+        self.keys, self.count = keys[by_hash], np.concatenate(counts)[by_hash]
+        sorted_at = np.empty(len(keys), np.int32)
+        sorted_at[by_hash] = np.arange(len(keys), dtype=np.int32)
+        self.place = []
         for k in range(order):
-            place = np.full(len(w), -1)
-            ok = self.nth >= k
-            place[ok] = where[at:at + ok.sum()]
-            at += ok.sum()
+            place = np.full(len(w), -1, np.int32)
+            place[self.nth >= k] = sorted_at[where[k]]
             self.place.append(place)
 
-    def cuts(self, ranges: int) -> np.ndarray:
-        """Where each range of hashes begins in ``keys``."""
-        lows = [-(-(r << HASH_BITS) // ranges) for r in range(ranges)]
-        return np.append(np.searchsorted(self.keys, np.array(lows, np.uint64)), len(self.keys))
+    def ranges(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Which of ``n`` equal ranges of hashes have n-grams, and where each
+        of these begins in ``keys``, with the end of the last."""
+        found, begin = np.unique(((self.keys >> _U(32)) * _U(n)) >> _U(32), return_index=True)
+        return found.astype(np.int64), np.append(begin, len(self.keys))
 
     def others(self, total: np.ndarray) -> list[np.ndarray]:
         """For each order, how often each position's n-gram occurs in other texts."""
@@ -118,14 +127,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
     size, words = size or 1, words or 0
     batches, ranges = math.ceil(size / BATCH_BYTES), math.ceil(size / RANGE_BYTES)
     id_type = dict(rows.dtypes)["id"]
-    dealt = rows.withColumn("batch", F.pmod(F.xxhash64("id", "text"), F.lit(batches)).cast("int"))
-
-    def explode(batch: pd.DataFrame) -> pd.DataFrame:
-        grams = _Grams(batch["text"].tolist(), order)
-        cut = grams.cuts(ranges)
-        out = [(r, int(batch["batch"].iloc[0]), _pack(np.diff(grams.keys[a:b], prepend=_U(0))), _pack_counts(grams.count[a:b]))
-               for r, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True))]
-        return pd.DataFrame(out, columns=["range", "batch", "steps", "counts"])
+    dealt = _dealt(rows, batches)
 
     def count(group: pd.DataFrame) -> pd.DataFrame:
         keys = [np.cumsum(_unpack(s), dtype=np.uint64) for s in group["steps"]]
@@ -137,16 +139,43 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
                              "totals": [_pack_counts(t) for t in np.split(total, ends[:-1])]})
 
     def summed(batch: pd.DataFrame, totals: pd.DataFrame) -> pd.DataFrame:
-        grams = _Grams(batch["text"].tolist(), order)
-        total = np.concatenate([_unpack_counts(t) for t in totals.sort_values("range")["totals"]]).astype(np.int64)
+        grams = _Grams(_texts(batch), order)
+        found = [_unpack_counts(t) for t in totals.sort_values("range")["totals"]]
+        total = np.concatenate([np.zeros(0, np.uint64), *found]).astype(np.int64)
         return pd.DataFrame({"id": batch["id"], **_score_words(grams, grams.others(total), words, order, backoff)})
 
-    exploded = dealt.groupBy("batch").applyInPandas(explode, "range int, batch int, steps binary, counts binary")
-    table = exploded.groupBy("range").applyInPandas(count, "batch int, range int, totals binary")
+    table = _exploded(dealt, ranges, order).groupBy("range").applyInPandas(count, "batch long, range long, totals binary")
     return (dealt.groupBy("batch").cogroup(table.groupBy("batch"))
             .applyInPandas(summed, f"id {id_type}, n_words long, score double, backed_off long"))
 
 
+def _dealt(rows: DataFrame, batches: int) -> DataFrame:
+    """``id``, ``batch`` and the compressed text, which is shuffled once."""
+    @F.pandas_udf("binary")
+    def shrunk(texts: pd.Series) -> pd.Series:
+        return pd.Series([zlib.compress(t.encode(), 1) for t in texts], dtype=object)
+
+    batch = F.pmod(F.xxhash64("id", "text"), F.lit(batches)).alias("batch")
+    return rows.select("id", batch, shrunk("text").alias("text"))
+
+
+def _texts(batch: pd.DataFrame) -> list[str]:
+    return [zlib.decompress(t).decode() for t in batch["text"]]
+
+
+def _exploded(dealt: DataFrame, ranges: int, order: int) -> DataFrame:
+    """``range``, ``batch``, and the steps between and counts of the batch's
+    n-grams in the range; a row for each range that has some."""
+    def explode(batch: pd.DataFrame) -> pd.DataFrame:
+        grams = _Grams(_texts(batch), order)
+        found, at = grams.ranges(ranges)
+        out = [(r, batch["batch"].iloc[0], _pack(np.diff(grams.keys[a:b], prepend=_U(0))), _pack_counts(grams.count[a:b]))
+               for r, a, b in zip(found.tolist(), at[:-1], at[1:], strict=True)]
+        return pd.DataFrame(out, columns=["range", "batch", "steps", "counts"])
+
+    return dealt.groupBy("batch").applyInPandas(explode, "range long, batch long, steps binary, counts binary")
+
+
 def _score_words(grams: _Grams, others: list[np.ndarray], words: int, order: int, backoff: float) -> dict:
     n = np.diff(grams.ends)
     rest = (words - n)[grams.doc]  # words of the other texts

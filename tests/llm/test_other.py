@@ -105,6 +105,21 @@ def test_backoff_as_brute_force(docs_of, monkeypatch, order):
     assert lm_score.score(docs_of([(1, "x"), (1, "x"), (None, "x")])).count() == 3
 
 
+def test_exploded_rows_grow_with_the_ngrams(docs_of):
+    """Batches and ranges both grow with the corpus; the rows between them
+    don't grow with their product, but stay under the number of n-grams."""
+    rng = random.Random(8)
+    texts = [" ".join(f"w{rng.randrange(5000)}" for _ in range(30)) for _ in range(400)]
+
+    def rows(n):
+        size = sum(map(len, texts[:n]))
+        docs = docs_of(list(enumerate(texts[:n]))).select(F.col("doc_id").alias("id"), "text")
+        return lm_score._exploded(lm_score._dealt(docs, size // 400), size // 20, 3).count()
+
+    small, large = rows(100), rows(400)
+    assert large < 6 * small and large <= 400 * (30 + 29 + 28)  # batches times ranges: 16 times
+
+
 @pytest.mark.parametrize("parts", [1, 5])
 def test_shards(docs_of, parts):
     rng = random.Random(1)
