@@ -326,3 +326,19 @@ def test_unseen_top_k_with_a_heavy_user(spark):
         want = sorted((i for i in I if (u, i) not in gone), key=lambda i: (-float(U[u] @ I[i]), i))[:5]
         assert got[u] == want
     assert 500 not in got and len(got[0]) <= 2
+
+
+def test_unseen_candidates_shuffle_no_pairs(spark):
+    """Each request with each item once but the excluded ones; nothing moves
+    after the pairs are made."""
+    items = spark.createDataFrame([(i,) for i in range(50)] + [(3,), (None,)], "movieId int")
+    reqs = spark.createDataFrame([(r,) for r in range(6)] + [(2,), (None,)], "request_id int")
+    gone = {(r, (r * 7 + j) % 60) for r in range(6) for j in range(r * 4)} | {(0, i) for i in range(50)}
+    excl = spark.createDataFrame(sorted(gone) * 2 + [(1, None), (None, 4)], "request_id int, movieId bigint")
+    for block in (7, 4096):
+        out = C.unseen_candidates(reqs, items, excl, block=block)
+        rows = [(r.request_id, r.movieId) for r in out.collect()]
+        want = {(r, i) for r in [*range(6), None] for i in [*range(50), None]} - gone
+        assert len(rows) == len(want) and set(rows) == want
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "LeftAnti" not in plan
