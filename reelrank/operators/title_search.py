@@ -74,7 +74,7 @@ def build_index(items: DataFrame, item: str = "movieId", title: str = "title",
 
 def _open_blocks(index: TitleIndex, asked: DataFrame, k: int) -> DataFrame:
     """(search, block): the blocks that may hold one of a search's best ``k``."""
-    bounds = (asked.join(index.maxima, "gram").groupBy("search", "block").agg(F.sum("top").alias("bound"))).checkpoint()
+    bounds = (asked.join(index.maxima.hint("shuffle_merge"), "gram").groupBy("search", "block").agg(F.sum("top").alias("bound"))).checkpoint()
     first = top_k(bounds, FIRST_BLOCKS, "search", "bound", "block", "place").select("search", "block")
     best = top_k(_scores(index, asked, first), k, "search", "score", "item", "rank")
     floor = best.filter(F.col("rank") == k).select("search", F.col("score").alias("floor"))
@@ -83,7 +83,8 @@ def _open_blocks(index: TitleIndex, asked: DataFrame, k: int) -> DataFrame:
 
 
 def _scores(index: TitleIndex, asked: DataFrame, pairs: DataFrame) -> DataFrame:
-    hits = asked.join(pairs, "search").join(index.postings, ["gram", "block"])
+    # merged: postings are many times the size Spark derives from the compressed titles, too many for a broadcast
+    hits = asked.join(pairs, "search").join(index.postings.hint("shuffle_merge"), ["gram", "block"])
     return hits.groupBy("search", "item").agg(round6(F.sum("weight")).alias("score"))
 
 

@@ -232,7 +232,9 @@ def search_titles_ranked(spark, sf_dir):
     f = Frames(spark, sf_dir)
     names = read_table(spark, sf_dir, "part").select(F.col("p_name").alias("text")).distinct()
     best = TS.search(TS.build_index(f.movies), names, K, search_id="text")
-    return best.join(f.movies.select("movieId", "title"), F.col("item") == F.col("movieId")).select(
+    # compressed, the whole catalogue looks small enough for a broadcast, which the driver would have to hold
+    titles = f.movies.select("movieId", "title").hint("shuffle_merge")
+    return best.join(titles, F.col("item") == F.col("movieId")).select(
         F.col("search").alias("text"), "rank", "movieId", "title", "score")
 
 

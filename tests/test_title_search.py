@@ -72,3 +72,10 @@ def test_blocks_below_the_kth_score_are_closed(spark):
     asked = spark.createDataFrame([("z", "zyx unlike")], "search string, text string").select("search", F.explode(T.trigrams(F.col("text"))).alias("gram")).distinct()
     held = index.postings.join(asked, "gram").select("block").distinct().count()
     assert 0 < T._open_blocks(index, asked, 5).count() < held
+
+
+def test_postings_and_titles_are_not_broadcast(spark):
+    from reelrank.plans.q_requests import search_titles_ranked
+    plan = search_titles_ranked(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line and ("block" in line or "movieId" in line)]
+    assert len(joins) == 3 and all("SortMergeJoin" in line for line in joins), plan
