@@ -24,6 +24,7 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 HOT_LINES = 1_000_000   # line items of a user that one task still sorts
+LINES_A_TASK = 250_000  # line items that a task dedupes and numbers (about 175 MB in its three sorts)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,7 +35,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """userId:int, movieId:int, rating:double, ts:timestamp, split:string.
 
-    Rows are dealt once by user; a task drops what is not the newest of its
+    Rows are dealt once by user, over as many tasks as there are
+    ``LINES_A_TASK`` of line items; a task drops what is not the newest of its
     (user, item) pairs and numbers each user's rows in time order. Users of
     more than ``HOT_LINES`` line items are kept out of that: their dedupe is
     keyed by (user, item) and their positions come from the range-partitioned
@@ -60,8 +62,17 @@ def _joined(li: DataFrame, od: DataFrame) -> DataFrame:
             .select("o_custkey", "l_partkey", "l_shipdate", "l_orderkey", "l_linenumber", "l_quantity"))
 
 
+def line_tasks(lines: int, cores: int) -> int:
+    """Tasks for that many line items: their number decides, as shuffled bytes
+    say little of what three sorts of them hold."""
+    return max(-(-lines // LINES_A_TASK), min(cores, 10 * lines // LINES_A_TASK))
+
+
 def _lines_by_user(li: DataFrame, od: DataFrame) -> DataFrame:
-    return _joined(li, od).repartition("o_custkey")
+    lines = li.count()                                            # one scalar
+    if lines <= LINES_A_TASK:
+        return _joined(li, od).repartition("o_custkey")
+    return _joined(li, od).repartition(line_tasks(lines, li.sparkSession.sparkContext.defaultParallelism), "o_custkey")
 
 
 def _newest(lines: DataFrame) -> DataFrame:
