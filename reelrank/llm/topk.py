@@ -10,20 +10,23 @@ largest scores are then read from the most significant slice downward: rows
 with the bit set stay as long as enough are left. Rows that still tie where
 the last places are given are resolved by id.
 
-Blocks of rows and blocks of queries meet in a grid: each is sent once to each
-cell of its row or column, and a cell returns k rows for each of its queries.
+Blocks of rows and blocks of queries meet in a grid: a Cartesian product of
+their records, each read where it lies, so none is written, shuffled or
+broadcast once for each block of the other side. A cell returns k rows for each
+of its queries.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelrank.llm.common import written
+from reelrank.llm.common import tasks, written
 
 BLOCK_ROWS = 8192
 BLOCK_QUERIES = 512
@@ -56,21 +59,25 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id"
     asked = clean(queries).groupBy("id").agg(F.min("v").alias("v")).withColumn("width", F.size("v"))
     index = written(build_index(rows), "bit-slices")
     grouped = written(_query_blocks(asked), "query-blocks")
-    across = grouped.groupBy("width").agg(F.max("part").alias("parts"))
-    down = index.groupBy("width").agg(F.max("block").alias("blocks"))
-    # across, down and the block counts below have one row for each vector length
-    left = (index.join(F.broadcast(across), "width").withColumn("part", F.explode(F.sequence(F.lit(0), "parts")))
-            .select("width", "block", "part", "ids", "low", "slices"))
-    right = (grouped.join(F.broadcast(down), "width").withColumn("block", F.explode(F.sequence(F.lit(0), "blocks")))
-             .select("width", "block", "part", F.col("ids").alias("query_ids"), "vectors"))
-
-    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    spark, n = vectors.sparkSession, index.count()  # one scalar
+    left = index.repartition(max(1, min(n, tasks(spark)))).rdd.map(tuple)
+    right = grouped.coalesce(1).rdd.map(tuple)
+    right.checkpoint()
+    right.count()  # writes the records, which are read again for every block of rows
+
+    def search(cells: Iterator[tuple[tuple, tuple]]) -> Iterator[tuple[bytes, bytes, bytes]]:
+        for (width, _, ids, low, slices), (other, _, query_ids, asked_for) in cells:
+            if width == other:
+                found = _search_cell(Cell(width, ids, low, slices, query_ids, asked_for), k)
+                yield tuple(found[c].to_numpy(np.int64).tobytes() for c in ("query_id", "id", "score"))
+
+    def rows_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for c in b.itertuples():
-                yield _search_cell(c, k)
+            for c in b.itertuples(index=False):
+                yield pd.DataFrame({name: np.frombuffer(x, np.int64) for name, x in zip(("query_id", "id", "score"), c, strict=True)})
 
-    found = (left.join(right, ["width", "block", "part"])
-             .mapInPandas(search, "query_id long, id long, score long"))
+    cells = spark.createDataFrame(left.cartesian(right).mapPartitions(search), "query_id binary, id binary, score binary", verifySchema=False)
+    found = cells.mapInPandas(rows_of, "query_id long, id long, score long")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     return (found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "id", "score"))
@@ -114,7 +121,17 @@ def _query_blocks(asked: DataFrame) -> DataFrame:
             .applyInPandas(block, "width int, part int, ids binary, vectors binary"))
 
 
-def _search_cell(cell, k: int) -> pd.DataFrame:
+class Cell(NamedTuple):
+    """A block of rows and a block of queries of the same width."""
+    width: int
+    ids: bytes
+    low: int
+    slices: bytes
+    query_ids: bytes
+    vectors: bytes
+
+
+def _search_cell(cell: Cell, k: int) -> pd.DataFrame:
     ids = np.frombuffer(cell.ids, np.int64)
     queries = np.frombuffer(cell.query_ids, np.int64)
     asked = np.frombuffer(cell.vectors, np.int64).reshape(len(queries), cell.width)

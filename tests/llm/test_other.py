@@ -38,6 +38,23 @@ def test_top_k_as_brute_force(spark):
     assert not got
 
 
+def test_top_k_copies_no_block_for_each_of_the_others(spark, monkeypatch):
+    """Blocks meet where they lie: what is joined, shuffled or broadcast does
+    not hold a copy of the queries for each block of rows."""
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 50)
+    monkeypatch.setattr(topk, "BLOCK_QUERIES", 8)
+    rng = np.random.default_rng(3)
+    v = rng.integers(-3, 4, (400, 5)) / 4
+    frame = spark.createDataFrame([(n, v[n].tolist()) for n in range(400)], "vec_id long, embedding array<double>")
+    out = topk.top_k(frame, frame.filter("vec_id % 10 = 0"), 3)
+    plan = out._jdf.queryExecution().toString()
+    assert "Join" not in plan and "explode" not in plan
+    q = np.floor(v * 256).astype(int)
+    want = {(a, r + 1): (b, s) for a in range(0, 400, 10)
+            for r, (s, b) in enumerate(sorted(((-int(q[a] @ q[b]), b) for b in range(400) if b != a))[:3])}
+    assert {(r.query_id, r["rank"]): (r.id, -r.score) for r in out.collect()} == want
+
+
 def test_top_k_of_few_and_none(spark):
     frame = spark.createDataFrame([(0, [1.0]), (1, [2.0])], "vec_id long, embedding array<float>")
     assert [tuple(r) for r in topk.top_k(frame, frame.filter("vec_id = 0"), 5).collect()] == [(0, 1, 1, 256 * 512)]
